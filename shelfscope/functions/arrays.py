@@ -77,11 +77,12 @@ def state_product_urls(payload: Column, url: Column) -> Column:
 
 def item_list_urls(block: Column) -> Column:
     """Product URLs of an ItemList block whose offers are one object or a list; relative URLs only."""
-    value = jsons.parse_whole(block)
-    top = F.coalesce(
-        nth(F.filter(jsons.as_list(value), lambda d: jsons.path_text(d, "$['@type']") == "ItemList"), 0),
-        value,
-    )
+
+    def list_in(value: Column) -> Column:
+        lists = F.filter(jsons.as_list(value), lambda d: jsons.path_text(d, "$['@type']") == "ItemList")
+        return F.coalesce(nth(lists, 0), value)
+
+    top = jsons.bind(jsons.parse_whole(block), list_in)
     elements = F.try_variant_get(top, "$.itemListElement", jsons.ANY_LIST)
 
     def offer_urls(element: Column) -> Column:

@@ -6,16 +6,26 @@ Values stay VARIANT until a field is read, because presence and type of a key bo
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shelfscope import fixed_values as fv
-from shelfscope.functions.text import is_blank_text, label_key, none_if_empty, strip
+from shelfscope.functions.text import is_blank_text, label_key, strip
 
 ANY_OBJECT = "map<string,variant>"
 ANY_LIST = "array<variant>"
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with `value` computed once, however often `use` mentions it.
+
+    Without it the tree of a nested rule repeats the parse at every mention.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def parse_whole(c: Column) -> Column:
     """VARIANT of a text that is exactly one JSON value, else NULL.
 
@@ -24,8 +34,12 @@ def parse_whole(c: Column) -> Column:
     """
     size = F.length(c)
     listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), c, F.lit(","), size, F.lit("]"))), "$", ANY_LIST)
-    ends_well = F.try_variant_get(F.get(listed, F.lit(1)), "$", "int") == size
-    return F.when((F.size(listed) == 2) & ends_well, F.get(listed, F.lit(0)))
+
+    def first_of_two(parts: Column) -> Column:
+        ends_well = F.try_variant_get(F.get(parts, F.lit(1)), "$", "int") == size
+        return F.when((F.size(parts) == 2) & ends_well, F.get(parts, F.lit(0)))
+
+    return bind(listed, first_of_two)
 
 
 def as_object(v: Column) -> Column:
@@ -51,22 +65,17 @@ def is_string(v: Column) -> Column:
 
 def is_blank(v: Column) -> Column:
     """NULL, white-space-only string, empty list or empty object. 0 and false are values."""
-    text = as_text(v)
-    hollow = text.isin("[]", "{}") & ~F.coalesce(is_string(v), F.lit(False))
-    return is_blank_text(text) | hollow
+    return bind(as_text(v), lambda t: is_blank_text(t) | (t.isin("[]", "{}") & ~F.coalesce(is_string(v), F.lit(False))))
 
 
 def truthy_text(v: Column) -> Column:
     """Text of a JSON value that counts as present: not null, '', 0, false, [] or {}."""
-    text = as_text(v)
-    kind = json_type(v)
-    empty = (
-        (text == "")
-        | ((kind == "BOOLEAN") & (text == "false"))
-        | (F.rlike(kind, F.lit("^(BIGINT|DOUBLE|DECIMAL)")) & (text.try_cast("double") == 0))
-        | (text.isin("[]", "{}") & (kind != "STRING"))
-    )
-    return F.when(~empty, text)
+
+    def keep(t: Column, value: Column) -> Column:
+        hollow = t.isin("false", "[]", "{}") | F.coalesce(t.try_cast("double") == 0, F.lit(False))
+        return F.when(~((t == "") | (hollow & (json_type(value) != "STRING"))), t)
+
+    return bind(v, lambda value: bind(as_text(value), lambda t: keep(t, value)))
 
 
 def path_text(v: Column, path: str) -> Column:
@@ -84,14 +93,17 @@ def path_value(v: Column, path: str) -> Column:
 
 def stock_flag(v: Column) -> Column:
     """Tri-state: booleans as they are, numbers by non-zero, known labels; anything else NULL."""
-    kind = json_type(v)
-    label = label_key(as_text(v))
-    return (
-        F.when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
-        .when(F.rlike(kind, F.lit("^(BIGINT|DOUBLE|DECIMAL)")), F.try_variant_get(v, "$", "double") != 0)
-        .when((kind == "STRING") & label.isin(fv.IN_STOCK_WORDS), F.lit(False))
-        .when((kind == "STRING") & label.isin(fv.SOLD_OUT_WORDS), F.lit(True))
-    )
+
+    def by_type(value: Column, kind: Column) -> Column:
+        label = label_key(as_text(value))
+        return (
+            F.when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
+            .when(F.rlike(kind, F.lit("^(BIGINT|DOUBLE|DECIMAL)")), F.try_variant_get(value, "$", "double") != 0)
+            .when((kind == "STRING") & label.isin(fv.IN_STOCK_WORDS), F.lit(False))
+            .when((kind == "STRING") & label.isin(fv.SOLD_OUT_WORDS), F.lit(True))
+        )
+
+    return bind(v, lambda value: bind(json_type(value), lambda kind: by_type(value, kind)))
 
 
 def sold_out(state: Column) -> Column:
@@ -104,21 +116,20 @@ def sold_out(state: Column) -> Column:
 
 def image_urls_of(fields: Column) -> Column:
     """`image_urls` is read only when `image_url` is null; a string is one URL, a list its non-empty entries."""
-    value = F.coalesce(present(fields, "image_url"), present(fields, "image_urls"))
-    one = none_if_empty(strip(as_text(value)))
-    # A list entry is turned to text as it is, so a null entry reads 'None'.
-    many = F.filter(
-        F.transform(as_list(value), lambda x: F.coalesce(strip(as_text(x)), F.lit("None"))), lambda s: s != ""
-    )
-    return F.when(is_string(value), F.when(one.isNotNull(), F.array(one)).otherwise(F.array().cast("array<string>"))).otherwise(
-        F.coalesce(many, F.array().cast("array<string>"))
-    )
+    none = F.array().cast("array<string>")
+
+    def urls_in(value: Column) -> Column:
+        # A list entry is turned to text as it is, so a null entry reads 'None'.
+        many = F.transform(as_list(value), lambda x: F.coalesce(strip(as_text(x)), F.lit("None")))
+        texts = F.when(is_string(value), F.array(strip(as_text(value)))).otherwise(many)
+        return F.filter(F.coalesce(texts, none), lambda s: s != "")
+
+    return bind(F.coalesce(present(fields, "image_url"), present(fields, "image_urls")), urls_in)
 
 
 def present(fields: Column, key: str) -> Column:
     """Value of a key, NULL when missing or JSON null."""
-    value = F.try_element_at(fields, F.lit(key))
-    return F.when(~F.is_variant_null(value), value)
+    return bind(F.try_element_at(fields, F.lit(key)), lambda v: F.when(~F.is_variant_null(v), v))
 
 
 def primary_key_of(fields: Column, site: Column) -> Column:

@@ -224,7 +224,7 @@ def ld_items(blocks: Column) -> Column:
     """Top-level objects of all readable blocks, in page order."""
     return F.flatten(
         F.transform(
-            blocks, lambda b: F.coalesce(jsons.as_list(jsons.parse_whole(b)), F.array(jsons.parse_whole(b)))
+            blocks, lambda b: jsons.bind(jsons.parse_whole(b), lambda v: F.coalesce(jsons.as_list(v), F.array(v)))
         )
     )
 
@@ -239,9 +239,9 @@ def _unnest(items: Column) -> Column:
     )
 
 
-def ld_nodes(blocks: Column) -> Column:
-    """Objects below lists and @graph containers (three levels, deeper nesting is not used on pages)."""
-    return _unnest(_unnest(ld_items(blocks)))
+def ld_nodes(items: Column) -> Column:
+    """Objects below lists and @graph containers of `ld_items` (three levels; pages do not nest deeper)."""
+    return _unnest(_unnest(items))
 
 
 def of_type(items: Column, name: str) -> Column:

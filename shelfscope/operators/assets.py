@@ -62,7 +62,7 @@ def inspect_blobs(blobs: DataFrame) -> DataFrame:
 
 
 def validate_images(log: DataFrame, blobs: DataFrame) -> DataFrame:
-    """Log rows of one or more runs + blobs (one per key) -> every ok row with `reason` and image facts.
+    """Log rows of one or more runs + blobs (one per key) -> every ok row with its `verdict` and image facts.
 
     Only keys asked for are opened (semi join on the key before any content is read); many rows
     may share a blob, so facts and not bytes are joined to the rows.
@@ -72,11 +72,11 @@ def validate_images(log: DataFrame, blobs: DataFrame) -> DataFrame:
     facts = inspect_blobs(blobs.join(wanted, "blob_key", "left_semi")).withColumnRenamed("blob_key", "s3_blob_key")
     joined = join_spread(rows, facts, ["s3_blob_key"], ["site", "primary_key", "url"])
     reason = judge(F.col("sha256"), F.col("actual_sha256"), F.col("info"))
-    return joined.withColumn("check", reason)
+    return joined.withColumn("verdict", reason)
 
 
 def validated_rows(checked: DataFrame) -> DataFrame:
-    return checked.where("check = 'ok'").select(
+    return checked.where("verdict = 'ok'").select(
         "site", "primary_key", F.col("url").alias("image_url"), "s3_blob_key", "sha256",
         F.col("info.width").alias("width"), F.col("info.height").alias("height"), F.col("info.format").alias("format"),
         "run_id", "dt", "run",
@@ -85,7 +85,7 @@ def validated_rows(checked: DataFrame) -> DataFrame:
 
 def validation_counters(checked: DataFrame, by: list[str] = []) -> DataFrame:
     """ok / rejected / fetch_error"""
-    kind = F.when(F.col("check").isin("ok", "fetch_error"), F.col("check")).otherwise("rejected")
+    kind = F.when(F.col("verdict").isin("ok", "fetch_error"), F.col("verdict")).otherwise("rejected")
     return checked.groupBy(*by, kind.alias("outcome")).agg(F.count("*").alias("n"))
 
 

@@ -52,6 +52,11 @@ def profile_records(records: DataFrame, by: list[str] = []) -> DataFrame:
     return _with_row_counts(counts, by)
 
 
+def field_universe(records: DataFrame, by: list[str]) -> DataFrame:
+    """Distinct keys seen per group."""
+    return records.select(*by, F.explode(F.map_keys("fields")).alias("field")).distinct()
+
+
 def profile_columns(rows: DataFrame, site: Column, fields: list[str], by: list[str] = []) -> DataFrame:
     """The same profile for a typed table: one wide aggregate, no explode of the data rows."""
     blank = {f: _blank_typed(rows, f) for f in fields}
@@ -131,7 +136,7 @@ def site_reports(profile: DataFrame, exceptions: DataFrame, params: GateParams,
                 F.lit("row_count_below_min_rows_for_blank_check ("), F.col("row_count").cast("string"),
                 F.lit(f" < {params.min_rows})"),
             )).alias("blank_rule_skipped_reason"),
-            F.array_sort(F.array_union(F.coalesce(for_all, none), F.coalesce("for_site", none))).alias("exceptions"),
+            F.sort_array(F.array_union(F.coalesce(for_all, none), F.coalesce("for_site", none))).alias("exceptions"),
             F.coalesce("checked_fields", F.lit(0)).alias("checked_fields"),
             F.coalesce("violations", F.array().cast(per_site.schema["violations"].dataType)).alias("violations"),
         )

@@ -54,12 +54,10 @@ def build_jobs(lines: DataFrame, site_override: str | None = None, dedupe: bool
             *POSITION, "url_no", "site", "primary_key", "image_url", "source_run_id",
             F.coalesce("reason", F.lit("jobs_written")).alias("outcome"),
         )
-    good = first_wins(
-        jobs.where("reason IS NULL"), ["site", "primary_key", "image_url"], [*POSITION, "url_no"]
-    ).withColumn("outcome", F.when(F.col("is_first"), "jobs_written").otherwise("skipped_duplicate_job"))
-    bad = jobs.where("reason IS NOT NULL").withColumn("outcome", F.col("reason"))
-    columns = [*POSITION, "url_no", "site", "primary_key", "image_url", "source_run_id", "outcome"]
-    return good.select(*columns).unionByName(bad.select(*columns))
+    # Rejected lines have no URL, hence no place among the winners.
+    judged = first_wins(jobs, ["site", "primary_key", "image_url"], [*POSITION, "url_no"])
+    outcome = F.coalesce("reason", F.when(F.col("is_first"), "jobs_written").otherwise("skipped_duplicate_job"))
+    return judged.select(*POSITION, "url_no", "site", "primary_key", "image_url", "source_run_id", outcome.alias("outcome"))
 
 
 def jobs_of(built: DataFrame) -> DataFrame:
@@ -80,24 +78,25 @@ def job_counters(built: DataFrame) -> DataFrame:
 def read_job_lines(lines: DataFrame, site_override: str | None = None) -> DataFrame:
     """One row per non-blank line: job columns, `status`/`reason` NULL for a job, `missing_fields` for a gap.
 
-    Here an empty `image_url` falls through to `image_urls`, and the key is taken as it is.
+    Here an empty `image_url` falls through to `image_urls`, and the key is taken as it is. A list
+    counts as present but is no URL: such a job has a NULL `image_url` and is refused by planning.
     """
     parsed = parse_lines(lines).where(~F.col("problem").eqNullSafe("empty_line"))
     fields = F.col("fields")
     site = F.lit(site_override) if site_override else jsons.truthy_text(jsons.present(fields, "site"))
-    image_url = F.coalesce(
-        jsons.truthy_text(jsons.present(fields, "image_url")), jsons.truthy_text(jsons.present(fields, "image_urls"))
-    )
+    given = [jsons.present(fields, "image_url"), jsons.present(fields, "image_urls")]
+    image = F.coalesce(*[F.when(jsons.truthy_text(v).isNotNull(), v) for v in given])
     rows = parsed.select(
         *POSITION,
         "problem",
         site.alias("site"),
         jsons.primary_key_of(fields, site).alias("primary_key"),
-        image_url.alias("image_url"),
+        jsons.as_text(image).alias("image_text"),
+        F.when(jsons.is_string(image), jsons.as_text(image)).alias("image_url"),
         jsons.source_run_of(fields).alias("source_run_id"),
     )
     gaps = missing_names(
-        {"site": F.col("site"), "primary_key": F.col("primary_key"), "image_url/image_urls": F.col("image_url")}
+        {"site": F.col("site"), "primary_key": F.col("primary_key"), "image_url/image_urls": F.col("image_text")}
     )
     reason = F.when(F.col("problem").isNotNull(), F.lit("invalid_json")).when(F.size(gaps) > 0, "missing_required_fields")
     return rows.select(
@@ -122,16 +121,12 @@ def plan_jobs(jobs: DataFrame, position: list[str]) -> DataFrame:
 
     First of equal job ids wins, in input order given by the unique `position`.
     """
-    known = identify(jobs)
-    good = first_wins(known.where("job_id IS NOT NULL"), ["job_id"], position)
-    status = F.when(~F.col("is_first"), fv.STATUS_SKIPPED_DUPLICATE)
-    planned = good.withColumn("status", status).withColumn(
-        "reason", F.when(F.col("status").isNotNull(), "duplicate_job")
-    ).drop("is_first")
-    invalid = known.where("job_id IS NULL").withColumns(
-        {"status": F.lit(fv.STATUS_SKIPPED_INVALID), "reason": F.lit("invalid_job_input")}
-    )
-    return planned.unionByName(invalid)
+    judged = first_wins(identify(jobs), ["job_id"], position)
+    invalid, duplicate = F.col("job_id").isNull(), ~F.col("is_first")
+    return judged.withColumns({
+        "status": F.when(invalid, fv.STATUS_SKIPPED_INVALID).when(duplicate, fv.STATUS_SKIPPED_DUPLICATE),
+        "reason": F.when(invalid, "invalid_job_input").when(duplicate, "duplicate_job"),
+    }).drop("is_first")
 
 
 def input_problem(site: Column, url: Column) -> Column:

@@ -57,16 +57,17 @@ def join_spread(
 def first_wins(rows: DataFrame, keys: list[str], position: list[str]) -> DataFrame:
     """Adds `is_first`: true for the row with the lowest `position` of its key.
 
-    `position` must be unique over all rows (for lines: file, line number). The winners, one
-    position per key, are joined back on that unique position and not on the key, so a key with
-    billions of copies is no heavier than any other.
+    `position` must be unique inside a key (for lines: file, line number). The winners, one per
+    key, are joined back on key and position together, which no two rows share: a key with
+    billions of copies is no heavier than any other. Rows with a NULL key are never first.
     """
     winners = (
-        rows.groupBy(*keys).agg(F.min(F.struct(*position)).alias("w"))
-        .select(*[F.col(f"w.{c}").alias(c) for c in position], F.lit(True).alias("_won"))
+        rows.where(" AND ".join(f"{k} IS NOT NULL" for k in keys)).groupBy(*keys)
+        .agg(F.min(F.struct(*position)).alias("w"))
+        .select(*keys, *[F.col(f"w.{c}").alias(c) for c in position if c not in keys], F.lit(True).alias("_won"))
     )
     return (
-        rows.join(winners, position, "left")
+        rows.join(winners, [*keys, *[c for c in position if c not in keys]], "left")
         .withColumn("is_first", F.coalesce(F.col("_won"), F.lit(False)))
         .drop("_won")
     )

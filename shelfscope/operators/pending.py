@@ -41,7 +41,8 @@ def pending_work(
     latest = latest_status(log, keys, run, status).select(*keys, F.col(status).alias("last_status"))
     joined = join_spread(newest, latest, keys, spread_by or newest.columns)
     found = joined.where(F.col("last_status").isNull() | F.col("last_status").isin(list(retry)))
-    return found.orderBy(*keys).limit(limit) if limit else found
+    rest = [c for c in newest.columns if c not in keys]
+    return found.orderBy(*keys, *rest).limit(limit) if limit else found
 
 
 def usable_rows(rows: DataFrame, required: tuple[str, ...] = ("site", "primary_key", "url")) -> DataFrame:

@@ -128,13 +128,14 @@ def api_item_records(items: DataFrame, run_id: str, crawl_date: str) -> DataFram
     return records.where("url IS NOT NULL")
 
 
-def page_fields(signals: Column, blocks: Column, script_text: Column, url: Column) -> dict[str, Column]:
+def page_fields(
+    signals: Column, product: Column, trails: Column, all_trails: Column, script_text: Column, url: Column
+) -> dict[str, Column]:
     """Page-side value of every field: the first of its fallbacks that gives something.
 
-    JSON-LD and script legs are native; meta, image, crumb and badge texts come from `signals`.
+    JSON-LD objects (`product`, `trails`: top level; `all_trails`: also below @graph) and script
+    text are read natively; meta, image, crumb and badge texts come from `signals`.
     """
-    product = markup.of_type(markup.ld_items(blocks), "Product")
-    trails = markup.of_type(markup.ld_items(blocks), "BreadcrumbList")
     og_title = markup.meta_content(signals, ("property", "og:title"))
     title_head = F.substring_index(og_title, " for ", 1)
 
@@ -157,7 +158,7 @@ def page_fields(signals: Column, blocks: Column, script_text: Column, url: Colum
     second = F.filter(crumb_items, lambda e: (F.try_variant_get(e, "$.position", "int") == 2)
                       & (strip(jsons.path_text(e, "$.name")) != ""))
     nav_gender = F.get(F.filter(F.transform(signals["nav_texts"], strip), lambda t: t.isin(fv.GENDER_CRUMBS)), F.lit(0))
-    path_pair = category_pair(markup.of_type(markup.ld_nodes(blocks), "BreadcrumbList"))
+    path_pair = category_pair(all_trails)
     brand_name = F.get(F.filter(F.transform(product, _brand_of), lambda b: b.isNotNull()), F.lit(0))
     brand_guess = F.array_join(F.slice(F.split(text.collapse_spaces(title_head), " "), 1, 3), " ")
     images = F.get(F.filter(F.transform(product, _image_of), lambda u: u.isNotNull()), F.lit(0))
@@ -262,10 +263,15 @@ def category_pair(trails: Column) -> Column:
 def api_page_records(pages: DataFrame, run_id: str, crawl_date: str) -> DataFrame:
     """Product pages of the API site as records, page values only."""
     parsed = pages.select(
-        "url", markup.page_signals(F.col("html")).alias("s"), markup.ld_json_blocks(F.col("html")).alias("blocks"),
+        "url", markup.page_signals(F.col("html")).alias("s"), markup.ld_items(markup.ld_json_blocks(F.col("html"))).alias("items"),
         F.array_join(markup.scripts(F.col("html")), " ").alias("script_text"),
+    ).select(
+        "url", "s", "script_text", markup.of_type(F.col("items"), "Product").alias("product"),
+        markup.of_type(F.col("items"), "BreadcrumbList").alias("trails"),
+        markup.of_type(markup.ld_nodes(F.col("items")), "BreadcrumbList").alias("all_trails"),
     )
-    fields = page_fields(F.col("s"), F.col("blocks"), F.col("script_text"), F.col("url"))
+    names = ["s", "product", "trails", "all_trails", "script_text", "url"]
+    fields = page_fields(*[F.col(c) for c in names])
     fields["image_urls"] = F.when(F.size(fields["image_urls"]) > 0, fields["image_urls"])
     return shared_record(parsed, {**_run(fv.API_SITE, run_id, crawl_date), **fields})
 

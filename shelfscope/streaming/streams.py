@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -152,13 +153,21 @@ def penalty_stream(
     )
 
 
-def refresh_partitions(rows: DataFrame, path: str, by: tuple[str, ...], checkpoint: str) -> StreamingQuery:
-    """Silver refresh: every batch replaces the partitions it contains."""
+def refresh_partitions(
+    arrivals: DataFrame, source: Callable[[], DataFrame], path: str, by: tuple[str, ...], checkpoint: str
+) -> StreamingQuery:
+    """Partition refresh: every batch rebuilds the partitions it touches from the whole source.
+
+    Rows of one partition may arrive in several batches; each time the partition is written in
+    full, so late rows are added and a repeated batch changes nothing. `source` gives the model's
+    rows as they stand now; the semi join prunes it to the touched partitions.
+    """
 
     def batch(arrived: DataFrame, batch_id: int) -> None:
-        sinks.write_run_partitions(arrived, path, by)
+        touched = arrived.select(*by).distinct()
+        sinks.write_run_partitions(source().join(touched, list(by), "left_semi"), path, by)
 
     return (
-        rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+        arrivals.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
