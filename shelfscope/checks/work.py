@@ -12,10 +12,10 @@ from shelfscope.plans import models
 
 
 def order_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as a dated catalogue: one snapshot per month, keyed by customer."""
+    """Orders as a dated catalogue: one snapshot per year, keyed by customer."""
     return table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_custkey").cast("string").alias("primary_key"),
-        F.date_format("o_orderdate", "yyyy-MM").alias("dt"),
+        F.date_format("o_orderdate", "yyyy").alias("dt"),
     )
 
 
@@ -28,7 +28,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PENDING_SQL = """
-WITH c AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS primary_key, strftime(o_orderdate, '%Y-%m') AS dt FROM orders),
+WITH c AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS primary_key, strftime(o_orderdate, '%Y') AS dt FROM orders),
 s AS (SELECT CAST(user_id AS VARCHAR) AS primary_key, event_type AS status,
              row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events)
 SELECT c.o_orderkey, c.primary_key, s.status AS last_status
@@ -102,11 +102,12 @@ def redirect_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listings.distinct_targets(pages, ["page_id"]).select("page_id", F.col("final_url").alias("target"))
 
 
-@query("SELECT c_custkey, c_nationkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey, c_nationkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')")
 def not_stored_yet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Existence anti join: customers without orders."""
+    """Existence anti join: customers without urgent orders."""
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return keyed.not_seen(customers, table(spark, sf_dir, "orders"), "c_custkey", "o_custkey")
+    urgent = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
+    return keyed.not_seen(customers, urgent, "c_custkey", "o_custkey")
 
 
 @query("""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from shelfscope import fixed_values as fv
 from shelfscope.functions import jsons, urls
 from shelfscope.functions.arrays import missing_names
+from shelfscope.functions.rows import compute_once
 from shelfscope.functions.text import is_blank_text, none_if_empty, strip
 from shelfscope.operators.keyed import first_wins
 from shelfscope.sources.lines import parse_lines
@@ -30,14 +31,11 @@ def build_jobs(lines: DataFrame, site_override: str | None = None, dedupe: bool
     parsed = parse_lines(lines)
     fields = F.col("fields")
     site = none_if_empty(strip(F.lit(site_override) if site_override else jsons.truthy_text(jsons.present(fields, "site"))))
-    typed = parsed.select(
-        *POSITION,
-        "problem",
-        site.alias("site"),
-        none_if_empty(strip(jsons.primary_key_of(fields, site))).alias("primary_key"),
-        jsons.image_urls_of(fields).alias("image_urls"),
-        jsons.source_run_of(fields).alias("source_run_id"),
-    )
+    typed = compute_once(compute_once(parsed, {"site": site}), {
+        "primary_key": none_if_empty(strip(jsons.primary_key_of(fields, F.col("site")))),
+        "image_urls": jsons.image_urls_of(fields),
+        "source_run_id": jsons.source_run_of(fields),
+    })
     reason = (
         F.when(F.col("problem").isNotNull(), F.concat(F.lit("skipped_"), F.col("problem")))
         .when(F.col("site").isNull(), "skipped_missing_site")
@@ -85,16 +83,13 @@ def read_job_lines(lines: DataFrame, site_override: str | None = None) -> DataFr
     fields = F.col("fields")
     site = F.lit(site_override) if site_override else jsons.truthy_text(jsons.present(fields, "site"))
     given = [jsons.present(fields, "image_url"), jsons.present(fields, "image_urls")]
-    image = F.coalesce(*[F.when(jsons.truthy_text(v).isNotNull(), v) for v in given])
-    rows = parsed.select(
-        *POSITION,
-        "problem",
-        site.alias("site"),
-        jsons.primary_key_of(fields, site).alias("primary_key"),
-        jsons.as_text(image).alias("image_text"),
-        F.when(jsons.is_string(image), jsons.as_text(image)).alias("image_url"),
-        jsons.source_run_of(fields).alias("source_run_id"),
-    )
+    image = F.coalesce(*[jsons.bind(v, lambda x: F.when(jsons.truthy_text(x).isNotNull(), x)) for v in given])
+    rows = compute_once(compute_once(parsed, {"site": site, "image": image}), {
+        "primary_key": jsons.primary_key_of(fields, F.col("site")),
+        "image_text": jsons.as_text(F.col("image")),
+        "image_url": F.when(jsons.is_string(F.col("image")), jsons.as_text(F.col("image"))),
+        "source_run_id": jsons.source_run_of(fields),
+    })
     gaps = missing_names(
         {"site": F.col("site"), "primary_key": F.col("primary_key"), "image_url/image_urls": F.col("image_text")}
     )
@@ -111,9 +106,8 @@ def identify(jobs: DataFrame) -> DataFrame:
     """Adds canonical site, trimmed key, absolute URL and job id; `job_id` is NULL for unusable input."""
     site = urls.image_site(F.col("site"))
     url = F.when(~is_blank_text(F.col("image_url")), urls.normalize_image_url(F.col("image_url")))
-    return jobs.withColumns(
-        {"norm_site": site, "norm_key": strip(F.col("primary_key")), "norm_url": url}
-    ).withColumn("job_id", urls.job_id(F.col("norm_site"), F.col("norm_key"), F.col("norm_url")))
+    parts = compute_once(jobs, {"norm_site": site, "norm_key": strip(F.col("primary_key")), "norm_url": url})
+    return compute_once(parts, {"job_id": urls.job_id(F.col("norm_site"), F.col("norm_key"), F.col("norm_url"))})
 
 
 def plan_jobs(jobs: DataFrame, position: list[str]) -> DataFrame:

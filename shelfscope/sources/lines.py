@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfscope.functions import jsons
+from shelfscope.functions.rows import compute_once
 from shelfscope.functions.text import is_blank_text, strip
 from shelfscope.session import allow_duplicate_json_keys
 
@@ -46,16 +47,17 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     Every line stays a row; nothing is dropped here.
     """
     allow_duplicate_json_keys(lines.sparkSession)
-    parsed = lines.withColumn("parsed", F.when(~is_blank_text(F.col("value")), jsons.parse_whole(strip(F.col("value")))))
-    fields = jsons.as_object(F.col("parsed"))
-    return parsed.select(
-        *[c for c in lines.columns if c != "value"],
-        F.when(is_blank_text(F.col("value")), "empty_line")
+    value = F.col("value")
+    keep = [c for c in lines.columns if c != "value"]
+    parsed = lines.select(*keep, "value", F.when(~is_blank_text(value), jsons.parse_whole(strip(value))).alias("parsed"))
+    problem = (
+        F.when(is_blank_text(value), "empty_line")
         .when(F.col("parsed").isNull(), "invalid_json")
-        .when(fields.isNull(), "invalid_shape")
-        .alias("problem"),
-        fields.alias("fields"),
+        .when(jsons.json_type(F.col("parsed")).startswith("OBJECT"), F.lit(None))
+        .otherwise("invalid_shape")
     )
+    found = compute_once(parsed, {"problem": problem, "fields": jsons.as_object(F.col("parsed"))})
+    return found.select(*keep, "problem", "fields")
 
 
 def strict_records(lines: DataFrame) -> DataFrame:
