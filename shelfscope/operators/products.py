@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from shelfscope import fixed_values as fv
 from shelfscope import schemas
 from shelfscope.functions import arrays, jsons, markup, text, urls
+from shelfscope.functions.rows import compute_once
 from shelfscope.functions.text import none_if_empty, strip
 from shelfscope.operators.keyed import first_wins, join_spread
 
@@ -68,13 +69,14 @@ def dom_products(pages: DataFrame, run_id: str, crawl_date: str) -> DataFrame:
 def state_products(pages: DataFrame, run_id: str, crawl_date: str) -> DataFrame:
     """Product pages of the state site. Pages without a readable, complete state give no record."""
     tab = "array<struct<tabId:string,html:string>>"
-    parsed = pages.where(urls.state_is_product(F.col("url"))).select("url", markup.embedded_state(F.col("html")).alias("state"))
+    found = pages.where(urls.state_is_product(F.col("url"))).select("url", "html")
+    parsed = compute_once(found, {"state": markup.embedded_state(F.col("html"))}).select("url", "state")
     tabs = F.try_variant_get("state", "$.pdp.contentTabs", tab)
 
     def tab_html(tab_id: str) -> Column:
         return F.get(F.filter(tabs, lambda t: t["tabId"] == tab_id), F.lit(0))["html"]
 
-    parsed = parsed.select("url", "state", tab_html("designDetails").alias("design"), tab_html("sizeAndFit").alias("fit"))
+    parsed = compute_once(parsed, {"design": tab_html("designDetails"), "fit": tab_html("sizeAndFit")})
     complete = parsed.where("design IS NOT NULL AND fit IS NOT NULL").withColumns(
         {"design": markup.plain_text(F.col("design")), "fit": markup.plain_text(F.col("fit"))}
     )
@@ -116,7 +118,8 @@ def state_rejects(pages: DataFrame) -> DataFrame:
     reason = F.when(F.col("state").isNull(), "no_state").when(
         ~F.coalesce(F.array_contains(ids, "designDetails") & F.array_contains(ids, "sizeAndFit"), F.lit(False)), "no_details"
     )
-    return pages.select("url", state.alias("state")).select("url", reason.alias("reason")).where("reason IS NOT NULL")
+    parsed = compute_once(pages.select("url", "html"), {"state": state}).select("url", "state")
+    return compute_once(parsed, {"reason": reason}).where("reason IS NOT NULL").select("url", "reason")
 
 
 # --- listing API items completed by page fields ------------------------------------------------
@@ -265,11 +268,11 @@ def api_page_records(pages: DataFrame, run_id: str, crawl_date: str) -> DataFram
     parsed = pages.select(
         "url", markup.page_signals(F.col("html")).alias("s"), markup.ld_items(markup.ld_json_blocks(F.col("html"))).alias("items"),
         F.array_join(markup.scripts(F.col("html")), " ").alias("script_text"),
-    ).select(
-        "url", "s", "script_text", markup.of_type(F.col("items"), "Product").alias("product"),
-        markup.of_type(F.col("items"), "BreadcrumbList").alias("trails"),
-        markup.of_type(markup.ld_nodes(F.col("items")), "BreadcrumbList").alias("all_trails"),
     )
+    parsed = compute_once(parsed, {
+        "product": markup.of_type(F.col("items"), "Product"), "trails": markup.of_type(F.col("items"), "BreadcrumbList"),
+        "all_trails": markup.of_type(markup.ld_nodes(F.col("items")), "BreadcrumbList"),
+    })
     names = ["s", "product", "trails", "all_trails", "script_text", "url"]
     fields = page_fields(*[F.col(c) for c in names])
     fields["image_urls"] = F.when(F.size(fields["image_urls"]) > 0, fields["image_urls"])
