@@ -31,7 +31,8 @@ def build_jobs(lines: DataFrame, site_override: str | None = None, dedupe: bool
     parsed = parse_lines(lines)
     fields = F.col("fields")
     site = none_if_empty(strip(F.lit(site_override) if site_override else jsons.truthy_text(jsons.present(fields, "site"))))
-    typed = compute_once(compute_once(parsed, {"site": site}), {
+    known = F.when(F.col("problem").isNull(), site)
+    typed = compute_once(compute_once(parsed, {"site": known}), {
         "primary_key": none_if_empty(strip(jsons.primary_key_of(fields, F.col("site")))),
         "image_urls": jsons.image_urls_of(fields),
         "source_run_id": jsons.source_run_of(fields),

@@ -60,7 +60,8 @@ def exception_rows(
 def exceptions_from_text(text: DataFrame) -> DataFrame:
     """JSON {site or *: [fields]} in column `value` -> distinct (site, field). Bad input fails the job."""
     listed = F.try_variant_get(parse_whole(F.col("value")), "$", "map<string,array<string>>")
-    checked = F.when(listed.isNotNull(), listed).otherwise(
+    all_lists = F.forall(F.map_values(listed), lambda fields: fields.isNotNull())
+    checked = F.when(listed.isNotNull() & all_lists, listed).otherwise(
         F.raise_error(F.lit("exceptions must be an object of field lists")).cast("map<string,array<string>>")
     )
     pairs = text.select(F.explode(checked).alias("raw_site", "fields"))
