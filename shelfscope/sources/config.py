@@ -49,7 +49,7 @@ def exception_rows(
     if exceptions_json and exceptions_file:
         raise ValueError("give the exceptions inline or as a file, not both")
     if exceptions_file:
-        text = spark.read.option("wholetext", "true").text(exceptions_file)
+        text = spark.read.text(exceptions_file, wholetext=True)
     elif exceptions_json:
         text = spark.range(1).select(F.lit(exceptions_json).alias("value"))
     else:

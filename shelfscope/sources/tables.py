@@ -39,8 +39,7 @@ def read_manifests(spark: SparkSession, base: str) -> DataFrame:
     return (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "manifest.json")
-        .option("wholetext", "true")
-        .text(base)
+        .text(base, wholetext=True)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"))
     )
 
