@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfscope import fixed_values as fv
@@ -80,66 +80,79 @@ def _blank_typed(rows: DataFrame, field: str) -> Column:
 
 
 def _with_row_counts(counts: DataFrame, by: list[str]) -> DataFrame:
-    """Splits off the NULL-key rows (the row counts) and puts them next to every field."""
-    rows = counts.where("field IS NULL").select(*by, "site", F.col("n").alias("row_count"))
-    fields = counts.where("field IS NOT NULL")
-    return rows.join(fields, [*by, "site"], "left").select(
-        *by, "site", "field", "row_count", (F.col("row_count") - F.coalesce("filled", F.lit(0))).alias("blank_count")
-    )
+    """Puts the NULL-key row of a site (its row count) next to every field of the site.
 
+    A window over the aggregated counts, so the data is read once. A site without any key keeps
+    one row with a NULL field.
+    """
+    per_site = Window.partitionBy(*by, "site")
+    placed = counts.withColumns({
+        "row_count": F.max(F.when(F.col("field").isNull(), F.col("n"))).over(per_site),
+        "n_fields": F.count("field").over(per_site),
+    })
+    return placed.where("field IS NOT NULL OR n_fields = 0").select(
+        *by, "site", "field", "row_count", (F.col("row_count") - F.col("filled")).alias("blank_count")
+    )
 
-def without_exempt(profile: DataFrame, exceptions: DataFrame) -> DataFrame:
-    """Drops fields exempt for the site or for all sites: two equi anti joins, not one with OR."""
-    everywhere = exceptions.where("site = '*'").select("field")
-    by_site = exceptions.where("site <> '*'")
-    return profile.join(everywhere, "field", "left_anti").join(by_site, ["site", "field"], "left_anti")
 
+def judge_fields(profile: DataFrame, exceptions: DataFrame, params: GateParams) -> DataFrame:
+    """Adds `is_checked`, the unrounded `ratio` and `is_violation` to every profile row.
 
-def checked_fields(profile: DataFrame, exceptions: DataFrame, params: GateParams, by: list[str] = []) -> DataFrame:
-    """Non-exempt fields of large enough sites, with the unrounded ratio and the verdict."""
-    big = profile.where((F.col("row_count") >= params.min_rows) & F.col("field").isNotNull())
+    A field is exempt for its site or for all sites ('*'): two equi joins, not one with OR. All
+    rows stay, so every later figure comes from this one table.
+    """
+    everywhere = exceptions.where("site = '*'").select("field", F.lit(True).alias("_all"))
+    by_site = exceptions.where("site <> '*'").select("site", "field", F.lit(True).alias("_own"))
+    joined = profile.join(everywhere, "field", "left").join(by_site, ["site", "field"], "left")
+    checked = (
+        (F.col("row_count") >= params.min_rows) & F.col("field").isNotNull() & F.col("_all").isNull() & F.col("_own").isNull()
+    )
     ratio = F.col("blank_count") / F.col("row_count")
-    return without_exempt(big, exceptions).select(
-        *by, "site", "field", "row_count", "blank_count", ratio.alias("blank_ratio"),
-        (ratio >= params.blank_threshold).alias("is_violation"),
+    return joined.select(
+        *profile.columns, checked.alias("is_checked"), ratio.alias("ratio"),
+        (checked & (ratio >= params.blank_threshold)).alias("is_violation"),
     )
 
 
+def checked_fields(profile: DataFrame, exceptions: DataFrame, params: GateParams) -> DataFrame:
+    """Non-exempt fields of large enough sites."""
+    return judge_fields(profile, exceptions, params).where("is_checked").drop("is_checked")
+
+
+def _violation(params: GateParams) -> list[Column]:
+    return [
+        F.lit(fv.BLANK_RULE).alias("rule"), F.col("blank_count"), F.col("row_count"),
+        display_ratio(F.col("ratio")).alias("blank_ratio"), F.lit(params.blank_threshold).alias("threshold"),
+    ]
+
+
 def violations(profile: DataFrame, exceptions: DataFrame, params: GateParams, by: list[str] = []) -> DataFrame:
-    found = checked_fields(profile, exceptions, params, by).where("is_violation")
-    return found.select(
-        *by, "site", F.lit(fv.BLANK_RULE).alias("rule"), "field", "blank_count", "row_count",
-        display_ratio(F.col("blank_ratio")).alias("blank_ratio"), F.lit(params.blank_threshold).alias("threshold"),
-    )
+    found = judge_fields(profile, exceptions, params).where("is_violation")
+    return found.select(*by, "site", "field", *_violation(params))
 
 
 def site_reports(profile: DataFrame, exceptions: DataFrame, params: GateParams, by: list[str] = []) -> DataFrame:
-    """One row per site: counts, skip reason, exempt fields, violations sorted by field."""
-    sites = profile.select(*by, "site", "row_count").distinct()
-    marked = checked_fields(profile, exceptions, params, by)
-    found = F.collect_list(F.when(F.col("is_violation"), F.struct(
-        F.col("field"), F.lit(fv.BLANK_RULE).alias("rule"), "blank_count", "row_count",
-        display_ratio(F.col("blank_ratio")).alias("blank_ratio"), F.lit(params.blank_threshold).alias("threshold"),
-    )))
-    per_site = marked.groupBy(*by, "site").agg(
-        F.count("*").alias("checked_fields"), F.array_sort(found).alias("violations")
+    """One row per site: counts, skip reason, exempt fields, violations sorted by field.
+
+    One aggregate over the judged profile; the lists hold at most the fields of a site.
+    """
+    found = F.collect_list(F.when(F.col("is_violation"), F.struct("field", *_violation(params))))
+    per_site = judge_fields(profile, exceptions, params).groupBy(*by, "site").agg(
+        F.max("row_count").alias("row_count"), F.count_if("is_checked").alias("checked_fields"),
+        F.array_sort(found).alias("violations"),
     )
     for_all = exceptions.where("site = '*'").agg(F.collect_set("field")).scalar()
     own = exceptions.where("site <> '*'").groupBy("site").agg(F.collect_set("field").alias("for_site"))
     none = F.array().cast("array<string>")
     small = F.col("row_count") < params.min_rows
-    return (
-        sites.join(per_site, [*by, "site"], "left").join(own, "site", "left")
-        .select(
-            *by, "site", "row_count", (~small).alias("blank_rule_checked"),
-            F.when(small, F.concat(
-                F.lit("row_count_below_min_rows_for_blank_check ("), F.col("row_count").cast("string"),
-                F.lit(f" < {params.min_rows})"),
-            )).alias("blank_rule_skipped_reason"),
-            F.sort_array(F.array_union(F.coalesce(for_all, none), F.coalesce("for_site", none))).alias("exceptions"),
-            F.coalesce("checked_fields", F.lit(0)).alias("checked_fields"),
-            F.coalesce("violations", F.array().cast(per_site.schema["violations"].dataType)).alias("violations"),
-        )
+    return per_site.join(own, "site", "left").select(
+        *by, "site", "row_count", (~small).alias("blank_rule_checked"),
+        F.when(small, F.concat(
+            F.lit("row_count_below_min_rows_for_blank_check ("), F.col("row_count").cast("string"),
+            F.lit(f" < {params.min_rows})"),
+        )).alias("blank_rule_skipped_reason"),
+        F.sort_array(F.array_union(F.coalesce(for_all, none), F.coalesce("for_site", none))).alias("exceptions"),
+        "checked_fields", "violations",
     )
 
 

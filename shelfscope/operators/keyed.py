@@ -54,6 +54,20 @@ def join_spread(
     return left.join(right, [*keys, "_part"], how).drop("_part")
 
 
+def few_rows(keys: DataFrame, limit: int) -> bool:
+    """Whether `keys` has at most `limit` rows; stops counting there."""
+    return keys.limit(limit + 1).count() <= limit
+
+
+def keep_keys(rows: DataFrame, keys: DataFrame, on: str, limit: int = 500_000) -> DataFrame:
+    """Rows whose key is among the distinct `keys`.
+
+    Up to `limit` keys (counted) are broadcast, so wide rows stay where they are read; more keys
+    are joined with a shuffle.
+    """
+    return rows.join(F.broadcast(keys) if few_rows(keys, limit) else keys, on, "left_semi")
+
+
 def first_wins(rows: DataFrame, keys: list[str], position: list[str]) -> DataFrame:
     """Adds `is_first`: true for the row with the lowest `position` of its key.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfscope import schemas
 from shelfscope.operators import assets, jobs, outcomes, pending
+from shelfscope.session import materialize
 from shelfscope.sinks import tables as sinks
 from shelfscope.sources.tables import read_run_partition
 
@@ -20,7 +21,7 @@ def run_images(
     todo = pending.usable_rows(pending.pending_work(catalogue, log, limit=limit)).select(
         "site", "primary_key", F.col("url").alias("image_url"), F.lit(None).cast("string").alias("source_run_id"),
     )
-    planned = jobs.plan_jobs(todo.distinct(), ["site", "primary_key", "image_url"])
+    planned = materialize(jobs.plan_jobs(todo.distinct(), ["site", "primary_key", "image_url"]), "planned")
     results = outcomes.job_outcomes(planned, responses, run_id, blob_prefix=blob_prefix)
     sinks.write_run_partitions(outcomes.log_rows(outcomes.loggable(results), dt, run_id), log_path)
     written = read_run_partition(spark, log_path, schemas.IMAGE_DOWNLOAD_LOG, dt, run_id)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the operators rely on for speed or exactness.
 # `allowDuplicateKeys` makes JSON parsing keep the last of two equal keys
@@ -50,6 +50,16 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+def materialize(rows: DataFrame, name: str) -> DataFrame:
+    """Writes a costly intermediate result to the shared folder once and reads it from there.
+
+    Survives lost executors, and steps that use the result twice do not compute it twice.
+    """
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder, never reused."""
     return os.path.join(scratch_root(spark), "shelfscope", f"{name}-{uuid.uuid4().hex}")

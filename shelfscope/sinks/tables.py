@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfscope.functions import urls
 from shelfscope.operators.assets import new_contents
+from shelfscope.operators.keyed import keep_keys
 
 CREATE_COLUMNS = {
     "crawl_manifest_raw": ("run_id STRING, raw_json STRING", "site STRING, dt STRING, run STRING"),
@@ -92,12 +93,14 @@ def register_partitions(spark: SparkSession, table: str, partitions: DataFrame,
 def store_contents(blobs: DataFrame, id_col: str, stored: DataFrame | None, path: str, prefix: str, suffix: str = "") -> None:
     """Writes content that is not stored yet as (blob_key, sha256, content) rows, one per digest.
 
-    Digests are compared first; bytes are then read for the chosen ids only.
+    Digests are compared first; bytes are then read again for the chosen ids, without a shuffle
+    while those are few.
     """
     keys = blobs.select(id_col, F.sha2("content", 256).alias("sha256"), F.octet_length("content").alias("bytes"))
-    chosen = new_contents(keys, id_col, stored).select(id_col, "sha256")
+    chosen = new_contents(keys, id_col, stored).select(id_col)
     (
-        blobs.join(chosen, id_col)
+        keep_keys(blobs, chosen, id_col)
+        .withColumn("sha256", F.sha2("content", 256))
         .select(urls.blob_key(prefix, F.col("sha256"), F.lit(suffix)).alias("blob_key"), "sha256", "content")
         .write.mode("append").parquet(path)
     )
