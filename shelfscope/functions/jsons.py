@@ -72,8 +72,9 @@ def truthy_text(v: Column) -> Column:
     """Text of a JSON value that counts as present: not null, '', 0, false, [] or {}."""
 
     def keep(t: Column, value: Column) -> Column:
-        hollow = t.isin("false", "[]", "{}") | F.coalesce(t.try_cast("double") == 0, F.lit(False))
-        return F.when(~((t == "") | (hollow & (json_type(value) != "STRING"))), t)
+        # A pattern instead of a cast: a failed cast costs an exception per row.
+        hollow = F.rlike(t, F.lit(r"^(false|\[\]|\{\}|-?0+(\.0*)?(E.*)?)$"))
+        return F.when(is_string(value), F.nullif(t, F.lit(""))).when(~hollow, t)
 
     return bind(v, lambda value: bind(as_text(value), lambda t: keep(t, value)))
 
