@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfscope import fixed_values as fv
 from shelfscope.checks.registry import query, table, wide_table
 from shelfscope.functions import arrays, jsons, markup, text, urls
-from shelfscope.operators import listings, verify
+from shelfscope.operators import listings, manifest, verify
 from shelfscope.sources import seeds
 
 
@@ -305,3 +305,22 @@ def api_request_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "request_kind", F.col("api.api").alias("api"), F.col("api.params")["genderType"].alias("gender_type"),
         F.col("api.params")["urlPath"].alias("url_path"),
     )
+
+
+@query("""
+WITH p AS (SELECT page_id, url, split_part(url, '/', 4) AS lang FROM pages)
+SELECT page_id, CASE WHEN lang = 'en' THEN 'bronze/dev/crawls/metadata/ounass/2024-02-01/' || page_id || '/manifest.json'
+  ELSE 'bronze/dev/crawls/ounass/2024-02-01/' || page_id || '/ounass.jsonl.gz' END AS file_key,
+  CASE WHEN lang = 'fr' THEN 2.0::DOUBLE ELSE 0.5::DOUBLE END AS delay,
+  CASE WHEN page_id % 10 < 2 THEN 2.0::DOUBLE WHEN page_id % 10 < 7 THEN pow(2.0, page_id % 10 - 1) ELSE 60.0::DOUBLE END AS slot FROM p
+""")
+def file_keys_and_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Storage branch of run files, request delay by host, domain delay held in its slot range."""
+    lang = urls.segment(F.col("url"), 3)
+    name = F.when(lang == "en", "metadata/manifest.json").otherwise("ounass.jsonl.gz")
+    image = F.when(lang == "fr", F.concat(F.lit("https://cdn-images.farfetch-contents.com/"), "url")).otherwise(F.col("url"))
+    domain_delay = text.backoff_delay((F.col("page_id") % 10).cast("int"))
+    key = manifest.crawl_file_key("dev", F.lit("ounass"), F.lit("2024-02-01"), F.col("page_id").cast("string"), name)
+    return table(spark, sf_dir, "pages").select(
+        "page_id", key.alias("file_key"), urls.slot_delay(image).alias("delay"), text.clamp_delay(domain_delay, 2.0, 60.0).alias("slot")
+    )

@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfscope import schemas
+from shelfscope.checks.extraction import dom_pages
 from shelfscope.checks.images import CHECK_SQL, part_images
 from shelfscope.checks.registry import query, table
 from shelfscope.checks.work import BACKOFF_STEP, request_steps
+from shelfscope.operators import products
+from shelfscope.plans import image_run as plan
 from shelfscope.session import scratch_path
 from shelfscope.sinks import tables as sinks
 from shelfscope.sources import lines
@@ -114,3 +117,40 @@ def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     whole = F.when((F.col("low") == 1) & (F.col("high") == F.col("n")), F.col("seen")).otherwise(0)
     return per_file.agg(F.sum("n").alias("n"), F.sum(whole).alias("n_numbers"), F.sum("users").alias("users"))
+
+
+@query("SELECT 'farfetch' AS site, CAST(p_partkey AS VARCHAR) AS portal_itemid, CASE WHEN p_size % 7 <> 0 THEN p_retailprice END AS price FROM part")
+def silver_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed records written as partitioned Parquet and read back."""
+    base = scratch_path(spark, "silver")
+    sinks.write_silver(products.dom_products(dom_pages(spark, sf_dir), "2024-02-01T00-00-00-000", "2024-02-01"), base)
+    return spark.read.schema(schemas.PRODUCT).parquet(base).select("site", "portal_itemid", "price")
+
+
+@query("SELECT DISTINCT 'by-hash/' || sha256(text) || '.txt' AS blob_key, sha256(text) AS sha256, strlen(text) AS bytes FROM documents WHERE sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE lang = 'de')")
+def content_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every new content stored once under its digest; contents of one language count as stored."""
+    base = scratch_path(spark, "contents")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", F.encode("text", "UTF-8").alias("content"))
+    stored = docs.where("lang = 'de'").select(F.sha2("content", 256).alias("sha256"))
+    sinks.store_contents(docs.select("doc_id", "content"), "doc_id", stored, base, "by-hash", ".txt")
+    return spark.read.parquet(base).select("blob_key", "sha256", F.octet_length("content").cast("bigint").alias("bytes"))
+
+
+@query("""
+WITH j AS (SELECT page_id, url, strlen(html) AS n FROM pages)
+SELECT CAST(page_id AS VARCHAR) AS primary_key, CASE WHEN url LIKE '%#top' THEN 'error' ELSE 'ok' END AS status,
+  CASE WHEN url LIKE '%#top' THEN 'request_failed' ELSE 'downloaded' END AS reason, '2024-02-02' AS dt FROM j
+""")
+def image_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole image run: pending rows, jobs, outcomes, log partition, marker."""
+    base = scratch_path(spark, "image-run")
+    pages = table(spark, sf_dir, "pages")
+    catalogue = pages.select(F.lit("ounass").alias("site"), F.col("page_id").cast("string").alias("primary_key"), "url", F.lit("2024-02-01").alias("dt"))
+    log = spark.createDataFrame([], "site string, primary_key string, url string, run_id string, status string")
+    responses = pages.where(~F.col("url").endswith("#top")).dropDuplicates(["url"]).select(
+        "url", F.lit(200).alias("http_status"), F.lit("image/png").alias("content_type"), F.encode("html", "UTF-8").alias("content"),
+        F.lit(None).cast("string").alias("error_type"), F.lit(None).cast("string").alias("error_message"),
+    )
+    written = plan.run_images(catalogue, log, responses, "run-2", "2024-02-02", f"{base}/log", f"{base}/markers", "by-hash")
+    return written.select("primary_key", "status", "reason", "dt")

@@ -35,8 +35,9 @@ def replay(
 ) -> DataFrame:
     """Adds `penalty` after each row. The first `order` column is a timestamp; `order` must be total.
 
-    `start(domain, penalty)` carries penalties over from earlier data. Smaller slices spread a
-    domain further; a slice is what one task sorts.
+    `start(domain, penalty)` carries penalties over from earlier data. A slice is what one task
+    sorts, and slices of a domain are chained as one row each: smaller slices spread a domain
+    further. Requests to one domain are paced, so an hour holds some thousands of rows.
     """
     ts = F.col(order[0]).cast("timestamp")
     sliced = steps.withColumn("_slice", F.floor(F.unix_seconds(ts) / F.lit(slice_seconds)))

@@ -87,11 +87,16 @@ def first_wins(rows: DataFrame, keys: list[str], position: list[str]) -> DataFra
     )
 
 
-def not_seen(rows: DataFrame, seen: DataFrame, key: str, seen_key: str | Column | None = None) -> DataFrame:
-    """Rows whose key is not among the seen keys; rows with a NULL key stay."""
+def not_seen(
+    rows: DataFrame, seen: DataFrame, key: str, seen_key: str | Column | None = None, unique: bool = False
+) -> DataFrame:
+    """Rows whose key is not among the seen keys; rows with a NULL key stay.
+
+    `unique` says that `rows` has each key once; otherwise hot keys are spread over tasks.
+    """
     seen_col = seen_key if isinstance(seen_key, Column) else F.col(seen_key or key)
     keys = seen.select(seen_col.alias(key)).where(F.col(key).isNotNull()).distinct()
-    return rows.join(keys, key, "left_anti")
+    return rows.join(keys, key, "left_anti") if unique else join_spread(rows, keys, [key], rows.columns, "left_anti")
 
 
 def first_rows(rows: DataFrame, group: list[str], order: list[str], n: int) -> DataFrame:

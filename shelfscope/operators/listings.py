@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfscope import fixed_values as fv
 from shelfscope import schemas
 from shelfscope.functions import arrays, markup, text, urls
-from shelfscope.operators.keyed import first_wins, not_seen
+from shelfscope.operators.keyed import first_wins, join_spread, not_seen
 
 
 def page_kinds(pages: DataFrame, site: str) -> DataFrame:
@@ -63,7 +63,7 @@ def api_items(payloads: DataFrame) -> DataFrame:
         parsed.where(F.coalesce(F.size("items"), F.lit(0)) <= 0).groupBy("url").agg(F.min("page").alias("stop"))
     )
     return (
-        parsed.join(stops, "url", "left").where(F.col("stop").isNull() | (F.col("page") < F.col("stop")))
+        join_spread(parsed, stops, ["url"], ["page"]).where(F.col("stop").isNull() | (F.col("page") < F.col("stop")))
         .select("url", "page", F.posexplode("items").alias("item_no", "item"))
     )
 
@@ -74,7 +74,7 @@ def frontier(found: DataFrame, seen: DataFrame, key: str = "found_url") -> DataF
     `seen(url, final_url)`: both the requested and the final address count.
     """
     both = seen.select(F.explode(F.array("url", "final_url")).alias("u")).where("u IS NOT NULL")
-    return not_seen(found.select(key).where(F.col(key).isNotNull()).distinct(), both, key, "u")
+    return not_seen(found.select(key).where(F.col(key).isNotNull()).distinct(), both, key, "u", unique=True)
 
 
 def distinct_targets(responses: DataFrame, position: list[str]) -> DataFrame:
