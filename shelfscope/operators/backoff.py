@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfscope import fixed_values as fv
 from shelfscope.functions.text import backoff_delay, parse_number
+from shelfscope.operators.keyed import HOT_ROWS
 
 
 def step_of(status: Column, will_retry: Column, failed: Column | None = None, decay: int = 1) -> Column:
@@ -29,26 +30,42 @@ def step_of(status: Column, will_retry: Column, failed: Column | None = None, de
     )
 
 
+def _sliced(steps: DataFrame, domain: str, ts: Column, slice_seconds: int, hot_rows: int) -> DataFrame:
+    """Adds `_slice` and `_part`, a time slice and, where a slice is hot, one of 1024 parts of it."""
+    width = slice_seconds * 1_000_000
+    timed = steps.withColumn("_us", F.unix_micros(ts)).withColumn("_slice", F.floor(F.col("_us") / F.lit(width)))
+    hot = (
+        timed.groupBy(domain, "_slice").agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
+        .select(domain, "_slice", F.lit(True).alias("_hot"))
+    )
+    into = F.floor((F.col("_us") - F.col("_slice") * F.lit(width)) * F.lit(1024) / F.lit(width))
+    # At most N / hot_rows slices are hot, so the list is small.
+    return (
+        timed.join(F.broadcast(hot), [domain, "_slice"], "left")
+        .withColumn("_part", F.when(F.col("_hot"), into).otherwise(F.lit(0).cast("bigint"))).drop("_us", "_hot")
+    )
+
+
 def replay(
     steps: DataFrame, domain: str = "domain", order: list[str] = ["ts", "event_id"], step: str = "step",
-    slice_seconds: int = 3600, start: DataFrame | None = None,
+    slice_seconds: int = 3600, start: DataFrame | None = None, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Adds `penalty` after each row. The first `order` column is a timestamp; `order` must be total.
 
     `start(domain, penalty)` carries penalties over from earlier data. A slice is what one task
-    sorts, and slices of a domain are chained as one row each: smaller slices spread a domain
-    further. Requests to one domain are paced, so an hour holds some thousands of rows.
+    sorts, and slices of a domain are chained as one row each; a slice with more than `hot_rows`
+    rows is cut into finer parts. Rows need a domain.
     """
-    ts = F.col(order[0]).cast("timestamp")
-    sliced = steps.withColumn("_slice", F.floor(F.unix_seconds(ts) / F.lit(slice_seconds)))
-    in_slice = Window.partitionBy(domain, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    cut = [domain, "_slice", "_part"]
+    sliced = _sliced(steps, domain, F.col(order[0]).cast("timestamp"), slice_seconds, hot_rows)
+    in_slice = Window.partitionBy(*cut).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = sliced.withColumn("_sum", F.sum(F.col(step).cast("bigint")).over(in_slice)).withColumn(
         "_low", F.min("_sum").over(in_slice)
     )
-    totals = local.groupBy(domain, "_slice").agg(
+    totals = local.groupBy(*cut).agg(
         F.max_by("_sum", F.struct(*order)).alias("_total"), F.min("_sum").alias("_lowest")
     )
-    earlier = Window.partitionBy(domain).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(domain).orderBy("_slice", "_part").rowsBetween(Window.unboundedPreceding, -1)
     chained = totals.withColumn("_base", F.coalesce(F.sum("_total").over(earlier), F.lit(0))).withColumn(
         "_floor", F.min(F.col("_base") + F.col("_lowest")).over(earlier)
     )
@@ -57,13 +74,13 @@ def replay(
     else:
         carried = start.select(F.col("domain").alias(domain), F.col("penalty").alias("_first"))
         chained = chained.join(carried, domain, "left").withColumn("_first", F.coalesce("_first", F.lit(0)))
-    offsets = chained.select(domain, "_slice", "_base", "_floor", "_first")
-    # Slices are bounded in time, so no (domain, slice) pair dominates this join.
-    joined = local.join(offsets, [domain, "_slice"])
+    offsets = chained.select(*cut, "_base", "_floor", "_first")
+    # Slices are bounded, so no key of this join dominates.
+    joined = local.join(offsets, cut)
     walk = F.col("_first") + F.col("_base") + F.col("_sum")
     lowest = F.col("_first") + F.least(F.col("_base") + F.col("_low"), F.coalesce("_floor", F.col("_base") + F.col("_low")))
     return joined.withColumn("penalty", walk - F.least(F.lit(0), lowest)).drop(
-        "_slice", "_sum", "_low", "_base", "_floor", "_first"
+        "_slice", "_part", "_sum", "_low", "_base", "_floor", "_first"
     )
 
 

@@ -87,13 +87,13 @@ def fold(steps, start=0):
 
 
 @settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.tuples(st.integers(0, 20000), st.sampled_from([1, 0, -1, -2])), min_size=1, max_size=60), st.sampled_from([60, 3600, 86400]), st.integers(0, 3))
-def test_replay_matches_fold(spark, rows, width, start):
+@given(st.lists(st.tuples(st.integers(0, 20000), st.sampled_from([1, 0, -1, -2])), min_size=1, max_size=60), st.sampled_from([60, 3600, 86400]), st.integers(0, 3), st.sampled_from([3, 10_000]))
+def test_replay_matches_fold(spark, rows, width, start, hot):
     rows = sorted((t, i, s) for i, (t, s) in enumerate(rows))
     frame = spark.createDataFrame([("d", t, i, s) for t, i, s in rows], "domain string, t long, event_id long, step long")
     frame = frame.select("domain", F.timestamp_seconds("t").alias("ts"), "event_id", "step")
     first = spark.createDataFrame([("d", start)], schemas.STATE_TABLE)
-    got = {r["event_id"]: r["penalty"] for r in backoff.replay(frame, slice_seconds=width, start=first).collect()}
+    got = {r["event_id"]: r["penalty"] for r in backoff.replay(frame, slice_seconds=width, start=first, hot_rows=hot).collect()}
     assert [got[i] for _, i, _ in rows] == fold([s for _, _, s in rows], start)
 
 
