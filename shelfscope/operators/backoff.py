@@ -3,7 +3,7 @@
 The penalty is a random walk held at zero. With S the running sum of steps it equals
 S - min(0, lowest S so far), so it needs two prefix aggregates and no row-by-row loop. To keep
 a busy domain off a single task the rows of a domain are cut into time slices: prefix values
-are computed inside each slice, slices are chained through their totals (one row per slice),
+are computed inside each slice (a hot slice is cut finer), slices are chained through their totals (one row per slice),
 and each row then adds what came before its slice.
 """
 
