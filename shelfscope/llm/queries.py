@@ -51,12 +51,12 @@ WITH RECURSIVE words AS (SELECT doc_id, {LOWER_WORDS} AS w FROM documents)
 )
 , sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id)
 , shared AS (
-    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS in_common
     FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL
 )
 , links AS (
     SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
-    WHERE 100 * both >= 80 * (p.n + q.n - both)
+    WHERE 100 * in_common >= 80 * (p.n + q.n - in_common)
 )
 {COMPONENT_SQL}
 SELECT words.doc_id, coalesce(n, 0) AS n_shingles, least(words.doc_id, coalesce(component, words.doc_id)) AS component_id
