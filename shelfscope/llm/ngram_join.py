@@ -32,10 +32,10 @@ SHARE = (80, 100)
 #: Counters of the frequency sketch, merged over all tasks (bytes on each executor).
 SKETCH = 1 << 22
 MIN_HASHES = 4
-#: A token with more documents in its prefix list is listed by component.
-SMALL = 32
+#: A token with more documents in its prefix list is listed by component, so lists stay in proportion to their rows.
+SMALL = 4
 #: Partners of one document that are verified in one group.
-PARTNERS = 256
+PARTNERS = 64
 
 
 def least_overlap(n: np.ndarray, m: np.ndarray, share: tuple[int, int]) -> np.ndarray:

@@ -5,8 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from shelfscope.llm.line_dedup import dedup_lines
+from shelfscope.llm.lm_scoring import score_texts
+from shelfscope.llm.mixing import ROUNDS, mix_sources
 from shelfscope.llm.ngram_join import jaccard_groups
+from shelfscope.llm.packing import pack_documents
+from shelfscope.llm.page_text import extract_pages
+from shelfscope.llm.quality import fit_quality, score_quality
+from shelfscope.llm.substring_dedup import drop_repeated_passages
+from shelfscope.llm.vector_dedup import near_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +74,216 @@ FROM words LEFT JOIN sizes ON sizes.doc_id = words.doc_id LEFT JOIN smallest ON
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose five-word shingle sets overlap by 0.8 or more."""
     return jaccard_groups(table(spark, sf_dir, "documents")).drop("set_id")
+
+
+# ---- 1: mixing
+
+#: Target shares of tokens. Every value not named is "(other)".
+TARGETS = {
+    "source": {"src0": 0.1, **{f"src{i}": 0.047 for i in range(1, 20)}, "(other)": 0.007},
+    "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.13, "(other)": 0.02},
+    "topic": {"contact": 0.05, "legal": 0.1, "table": 0.05, "long prose": 0.5, "short prose": 0.25, "(other)": 0.05},
+}
+BUDGET = 0.8
+
+#: The tables have no topic; this rule gives a coarse one and is SQL for both engines.
+TOPIC_SQL = """CASE WHEN text IS NULL OR text = '' THEN NULL WHEN contains(text, '@') THEN 'contact'
+    WHEN contains(lower(text), 'license') THEN 'legal' WHEN contains(text, ' | ') THEN 'table'
+    WHEN length(text) >= 3000 THEN 'long prose' ELSE 'short prose' END"""
+
+
+def _target_rows(margin: str) -> str:
+    return "SELECT * FROM (VALUES " + ", ".join(f"('{k}', {v!r}::DOUBLE)" for k, v in TARGETS[margin].items()) + ") AS t(name, share)"
+
+
+def _group_sql(column: str, margin: str) -> str:
+    names = ", ".join(f"'{k}'" for k in TARGETS[margin] if k != "(other)")
+    return f"CASE WHEN {column} IN ({names}) THEN {column} ELSE '(other)' END"
+
+
+def _raked(step: str, margin: str) -> str:
+    """One step of the fitting: weights times goal over present sum of a margin."""
+    column = f"mix_{margin}"
+    return f"""SELECT i, mix_source, mix_lang, mix_topic, n, source_goal, lang_goal, topic_goal,
+        weight * {margin}_goal / sum(weight * n) OVER (PARTITION BY i, {column}) AS weight FROM ({step})"""
+
+
+_STEP = "SELECT * FROM fitted WHERE i < " + str(ROUNDS)
+for _margin in ("source", "lang", "topic"):
+    _STEP = _raked(_STEP, _margin)
+
+MIXING_SQL = f"""
+WITH RECURSIVE rows AS (
+    SELECT doc_id, text, {_group_sql('source', 'source')} AS mix_source, {_group_sql('lang', 'lang')} AS mix_lang,
+        {_group_sql('topic', 'topic')} AS mix_topic,
+        greatest(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')), 1) AS mix_tokens
+    FROM (SELECT *, {TOPIC_SQL} AS topic FROM documents)
+)
+, cells AS (SELECT mix_source, mix_lang, mix_topic, sum(mix_tokens)::DOUBLE AS n FROM rows GROUP BY ALL)
+, goals AS (
+    SELECT margin, name, share / sum(share) OVER (PARTITION BY margin) * (SELECT sum(n) FROM cells) AS goal
+    FROM (
+        SELECT 'source' AS margin, * FROM ({_target_rows('source')}) WHERE name IN (SELECT mix_source FROM cells)
+        UNION ALL SELECT 'lang', * FROM ({_target_rows('lang')}) WHERE name IN (SELECT mix_lang FROM cells)
+        UNION ALL SELECT 'topic', * FROM ({_target_rows('topic')}) WHERE name IN (SELECT mix_topic FROM cells)
+    )
+)
+, fitted AS (
+    SELECT 0 AS i, cells.*, s.goal AS source_goal, l.goal AS lang_goal, t.goal AS topic_goal, 1.0::DOUBLE AS weight
+    FROM cells JOIN goals s ON s.margin = 'source' AND s.name = mix_source JOIN goals l ON l.margin = 'lang' AND l.name = mix_lang
+        JOIN goals t ON t.margin = 'topic' AND t.name = mix_topic
+    UNION ALL
+    SELECT i + 1, mix_source, mix_lang, mix_topic, n, source_goal, lang_goal, topic_goal, weight FROM ({_STEP})
+)
+, heaviest AS (
+    SELECT mix_source, mix_lang, mix_topic, weight, n,
+        coalesce(sum(n) OVER (ORDER BY weight DESC, mix_source, mix_lang, mix_topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above,
+        sum(n * weight) OVER (ORDER BY weight DESC, mix_source, mix_lang, mix_topic ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS below
+    FROM fitted WHERE i = {ROUNDS}
+)
+, factor AS (
+    SELECT max_by(({BUDGET} * (SELECT sum(n) FROM cells) - above) / below, weight) AS f FROM heaviest
+    WHERE ({BUDGET} * (SELECT sum(n) FROM cells) - above) / below * weight <= 1
+)
+, chances AS (SELECT mix_source, mix_lang, mix_topic, least(1.0, f * weight) AS probability FROM heaviest, factor)
+SELECT doc_id, mix_source, mix_lang, mix_topic, mix_tokens, round(probability, 9) AS probability,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, text, '')), 1, 12))::BIGINT / 281474976710656.0::DOUBLE < probability AS kept
+FROM rows JOIN chances USING (mix_source, mix_lang, mix_topic)
+"""
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    return mix_sources(docs, F.expr(TOPIC_SQL), TARGETS, BUDGET)
+
+
+@query(MIXING_SQL)
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampling probabilities of all documents for the target mix, and the sample."""
+    return mixed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "mix_source", "mix_lang", "mix_topic", "mix_tokens", F.round("probability", 9).alias("probability"), "kept"
+    )
+
+
+# ---- 2: embedding near-dedup
+
+
+@query(f"""
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+)
+, links AS (
+    SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y ON x.label = y.label AND x.vec_id < y.vec_id AND len(x.v) = len(y.v)
+    WHERE list_cosine_similarity(x.v, y.v) >= 0.93
+)
+{COMPONENT_SQL}
+, counted AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(component, vec_id)) AS component_id,
+    vec_id = least(vec_id, coalesce(component, vec_id)) AS kept
+FROM embeddings LEFT JOIN counted ON counted.a = vec_id LEFT JOIN smallest ON smallest.a = vec_id
+""")
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of one label with a cosine of 0.93 or more, and their groups."""
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+# ---- 5: substring dedup
+
+
+@query("""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents)
+, windows AS (
+    SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM words, unnest(range(1, greatest(len(w) - 48, 1))) AS r(i)
+)
+, firsts AS (SELECT h, min(doc_id) AS holder FROM windows GROUP BY h)
+, gone AS (
+    SELECT DISTINCT doc_id, i + j AS i FROM (SELECT doc_id, i FROM windows JOIN firsts USING (h) WHERE doc_id > holder), unnest(range(0, 50)) AS r(j)
+)
+, marked AS (
+    SELECT words.doc_id, r.i, w[r.i] AS word, gone.i IS NOT NULL AS removed
+    FROM words, unnest(range(1, len(w) + 1)) AS r(i) LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.i = r.i
+)
+, kept AS (
+    SELECT doc_id, count(*) FILTER (WHERE removed) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT removed) AS t
+    FROM marked GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+""")
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 50-word passages that a smaller id has."""
+    return drop_repeated_passages(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
+# ---- 6: language-model scoring
+
+
+def crc32_remainder(divisor: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+@query()
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all texts under the filter model and the word baseline."""
+    return score_texts(table(spark, sf_dir, "documents"), crc32_remainder(7) == 2)
+
+
+# ---- 7: quality classifier
+
+
+def quality_model(docs: DataFrame, spark: SparkSession, sf_dir: str):
+    return fit_quality(docs, table(spark, sf_dir, "labels").where(crc32_remainder(5) != 0))
+
+
+@query()
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc32_remainder(5) == 0, F.lit(False)).alias("held_out")
+    return score_quality(docs.select("doc_id", "text"), quality_model(docs, spark, sf_dir)).select("doc_id", held_out, "score", "predicted")
+
+
+# ---- 8: page text
+
+
+@query()
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return extract_pages(table(spark, sf_dir, "pages"), "html", "page_id", "url").withColumn("n_chars", F.length("text").cast("long"))
+
+
+# ---- 9: packing
+
+
+@query()
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens."""
+    import public_tokenizers
+
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+# ---- 10: line dedup
+
+
+@query("""
+WITH lines AS (
+    SELECT doc_id, i, parts[i] AS line, translate(trim(parts[i], E' \\t\\n\\x0B\\x0C\\r'),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), E'\\n') AS parts FROM documents), unnest(range(1, len(parts) + 1)) AS r(i)
+)
+, often AS (
+    SELECT k, max(doc_id) AS keeper FROM lines WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE doc_id <> keeper) AS n_dropped,
+    sha256(coalesce(string_agg(line, E'\\n' ORDER BY i) FILTER (WHERE keeper IS NULL OR doc_id = keeper), '')) AS kept_sha256
+FROM lines LEFT JOIN often USING (k) GROUP BY doc_id
+""")
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without lines that five or more share, but for their last holder."""
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
