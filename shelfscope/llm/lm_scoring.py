@@ -77,7 +77,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 def _bit_places(keys: np.ndarray, level: int, sections: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Two places inside the section of each key."""
     inside = np.uint64(bits // sections - 1)
-    h = mix(keys + np.uint64(level) * odd_numbers(79, 1)[0])
+    h = mix(keys + np.uint64(level * int(odd_numbers(79, 1)[0]) % 2**64))
     return h & inside, (h >> np.uint64(32)) & inside
 
 
