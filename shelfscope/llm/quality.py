@@ -1,39 +1,49 @@
 """Quality classifier: a linear hinge-loss model over n-gram indicators scaled by naive Bayes log-count ratios.
 
-Features say which byte trigrams (hashed to a fixed number of columns) a whole text has. Each indicator is multiplied by
-the log ratio of its share among good and among bad texts, the vector is scaled to length one, and the model is fitted by
-dual coordinate descent. Margins become probabilities by a logistic curve fitted on rows that the model did not see.
+Features say which byte trigrams (hashed to a fixed number of columns) a whole text has, and how often its word pairs
+are one word twice. Each indicator is multiplied by the log ratio of its share among good and among bad texts, the vector is
+scaled to about length one (short texts stay shorter, so little evidence gives small margins), and the model is fitted
+by dual coordinate descent. Margins become probabilities by a logistic curve fitted on rows that the model did not see.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-COLUMNS = 1 << 18
+TRIGRAMS = 1 << 18
+#: Shares of doubled words that have an indicator each. A column is repeated so that it counts as much as many trigrams.
+DOUBLED = tuple(x for x in (0.02, 0.05, 0.1, 0.2, 0.4) for _ in range(20))
+COLUMNS = TRIGRAMS + len(DOUBLED)
 #: Labelled rows that the fit uses at most, the first ones by a hash of their id (documented bound; about 4 kB each).
 FIT_ROWS = 8000
 SMOOTHING = 1.0
 COST = 1.0
 EPOCHS = 20
+DAMPING = 0.1
 THRESHOLD = 0.3
 BLOCK = 1 << 20
 
 
-def trigram_columns(text: bytes) -> np.ndarray:
-    """The distinct columns of a text, sorted. Memory does not grow with long texts."""
-    if len(text) <= BLOCK:
-        return np.unique(_columns(np.frombuffer(text, np.uint8)))
-    present = np.zeros(COLUMNS, bool)
+def text_columns_of(text: bytes) -> np.ndarray:
+    """The distinct columns of a text, sorted; the last ones tell of doubled words."""
     data = np.frombuffer(text, np.uint8)
-    for at in range(0, len(data), BLOCK):
-        present[_columns(data[at : at + BLOCK + 2])] = True
-    return np.flatnonzero(present).astype(np.int32)
+    if len(text) <= BLOCK:
+        found = np.unique(_columns(data))
+    else:
+        present = np.zeros(TRIGRAMS, bool)
+        for at in range(0, len(data), BLOCK):
+            present[_columns(data[at : at + BLOCK + 2])] = True
+        found = np.flatnonzero(present).astype(np.int32)
+    words = text.split()
+    share = sum(map(eq, words, words[1:])) / len(words) if words else 0.0
+    return np.append(found, np.int32(TRIGRAMS) + np.flatnonzero(share >= np.array(DOUBLED)).astype(np.int32))
 
 
 def _columns(data: np.ndarray) -> np.ndarray:
@@ -44,20 +54,20 @@ def _columns(data: np.ndarray) -> np.ndarray:
 
 def text_columns(texts: pa.Array) -> Iterator[np.ndarray]:
     for text in texts.fill_null("").cast(pa.large_binary()):
-        yield trigram_columns(text.as_py())
+        yield text_columns_of(text.as_py())
 
 
 @dataclass
 class Model:
     weights: np.ndarray
     squares: np.ndarray
+    damping: float
     bias: float
     slope: float
     shift: float
 
     def score(self, columns: np.ndarray) -> float:
-        length = float(self.squares[columns].sum()) ** 0.5
-        margin = self.bias + (float(self.weights[columns].sum()) / length if length else 0.0)
+        margin = self.bias + float(self.weights[columns].sum()) / (float(self.squares[columns].sum()) + self.damping) ** 0.5
         return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -500, 500))))
 
 
@@ -69,12 +79,24 @@ def log_count_ratios(rows: list[np.ndarray], good: np.ndarray) -> np.ndarray:
     return np.log(counts[1] / counts[0])
 
 
-def hinge_by_dual_descent(rows: list[np.ndarray], sign: np.ndarray, ratio: np.ndarray, seed: int = 5) -> tuple[np.ndarray, float]:
+def typical_square(rows: list[np.ndarray], ratio: np.ndarray) -> float:
+    """What is added under the root when a row is scaled: a share of a row's usual squared length, never 0."""
+    return DAMPING * float(np.mean([(ratio[c] ** 2).sum() for c in rows])) + 1e-9
+
+
+def scaled(columns: np.ndarray, ratio: np.ndarray, damping: float) -> np.ndarray:
+    values = ratio[columns]
+    return values / ((values**2).sum() + damping) ** 0.5
+
+
+def hinge_by_dual_descent(
+    rows: list[np.ndarray], sign: np.ndarray, ratio: np.ndarray, damping: float, seed: int = 5
+) -> tuple[np.ndarray, float]:
     """Weights (on scaled indicators) and bias that minimise |w|^2 / 2 + the cost-weighted hinge losses.
 
     The rarer class costs more per row, so that both classes weigh the same.
     """
-    values = [ratio[c] / max(float(np.sqrt((ratio[c] ** 2).sum())), 1e-12) for c in rows]
+    values = [scaled(c, ratio, damping) for c in rows]
     share = np.where(sign > 0, (sign < 0).sum(), (sign > 0).sum()) * 2 / len(sign)
     cost = COST * share
     alpha, w, bias = np.zeros(len(rows)), np.zeros(COLUMNS), 0.0
@@ -111,7 +133,7 @@ def fit(rows: list[np.ndarray], good: np.ndarray) -> Model:
     n1, n0 = int(good.sum()), int((1 - good).sum())
     if min(n1, n0) < 2:
         share = (n1 + 1) / (n1 + n0 + 2)
-        return Model(np.zeros(COLUMNS), np.zeros(COLUMNS), 0.0, 1.0, float(np.log(share / (1 - share))))
+        return Model(np.zeros(COLUMNS), np.zeros(COLUMNS), 1.0, 0.0, 1.0, float(np.log(share / (1 - share))))
     sign = np.where(good > 0, 1.0, -1.0)
     margins = np.zeros(len(rows))
     fold = np.empty(len(rows), int)
@@ -122,14 +144,15 @@ def fit(rows: list[np.ndarray], good: np.ndarray) -> Model:
         inside, outside = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
         part = [rows[i] for i in inside]
         ratio = log_count_ratios(part, good[inside])
-        w, bias = hinge_by_dual_descent(part, sign[inside], ratio)
+        damping = typical_square(part, ratio)
+        w, bias = hinge_by_dual_descent(part, sign[inside], ratio, damping)
         for i in outside:
-            scaled = ratio[rows[i]]
-            margins[i] = bias + w[rows[i]] @ scaled / max(float(np.sqrt((scaled**2).sum())), 1e-12)
+            margins[i] = bias + w[rows[i]] @ scaled(rows[i], ratio, damping)
     slope, shift = logistic_curve(margins, good)
     ratio = log_count_ratios(rows, good)
-    w, bias = hinge_by_dual_descent(rows, sign, ratio)
-    return Model(w * ratio, ratio**2, bias, slope, shift)
+    damping = typical_square(rows, ratio)
+    w, bias = hinge_by_dual_descent(rows, sign, ratio, damping)
+    return Model(w * ratio, ratio**2, damping, bias, slope, shift)
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
