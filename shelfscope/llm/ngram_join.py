@@ -391,5 +391,6 @@ def jaccard_groups(
 def one_of_each_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of `docs` whose document has the smallest id of its group; rows without id stay."""
     groups = jaccard_groups(docs, id_column, text_column)
-    stay = groups.where("doc_id = component_id").select(F.col("doc_id").alias(id_column)).distinct()
-    return docs.join(stay, id_column, "left_semi").union(docs.where(F.col(id_column).isNull()))
+    stay = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_stay_id")).distinct()
+    ids = docs[id_column].cast("long")
+    return docs.join(stay, ids == stay["_stay_id"], "left_semi").union(docs.where(ids.isNull()))

@@ -1,7 +1,7 @@
 """Main text of web pages: text-to-tag ratios over the events of the standard library's parser.
 
-A line is the text between two block boundaries. Its ratio of characters to tags is smoothed along the page with
-a Gaussian, and the smoothed ratios are clustered in two by a threshold. The innermost container that holds nearly all text of the
+A line is the text between two block boundaries. Its ratio of characters (without those of links) to start tags is smoothed along
+the page with a Gaussian, and the smoothed ratios are clustered in two by a threshold. The innermost container that holds nearly all text of the
 upper cluster is the content region (its article or main element, if it is in one); its lines are the result. Where the page body
 itself is that container, the upper cluster and the short lines inside its runs are taken.
 
@@ -76,17 +76,18 @@ class PageLines(HTMLParser):
         self.outside = 0
         self.path: tuple[int, ...] = ()
         self.kinds: list[str] = []
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
+        self.lines: list[tuple[str, int, tuple[int, ...], int]] = []
         self.text: list[str] = []
+        self.linked = 0
         self.tags = 0
 
     def end_line(self) -> None:
         if self.text:
             line = " ".join("".join(self.text).split())
-            self.text = []
             if line:
-                self.lines.append((line, max(self.tags, 1), self.path))
+                self.lines.append((line, max(self.tags, 1), self.path, max(len(line) - self.linked, 0)))
                 self.tags = 0
+            self.text, self.linked = [], 0
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
@@ -137,7 +138,6 @@ class PageLines(HTMLParser):
     def handle_endtag(self, tag):
         if tag in BLOCKS:
             self.end_line()
-        self.tags += 1
         if not self.count[tag]:
             return
         for depth in range(len(self.open) - 1, -1, -1):
@@ -151,6 +151,8 @@ class PageLines(HTMLParser):
     def handle_data(self, data):
         if not self.outside:
             self.text.append(data)
+            if self.count["a"]:
+                self.linked += len(data)
 
 
 def page_lines(html: str) -> PageLines:
@@ -193,10 +195,12 @@ def main_text(html: str) -> str:
     page = page_lines(html)
     if not page.lines:
         return ""
-    texts, tags, paths = zip(*page.lines, strict=True)
-    size = np.array([len(t) for t in texts], float)
-    value = smoothed(size / np.array(tags, float))
-    upper = value >= cluster_threshold(value)
+    texts, tags, paths, own = zip(*page.lines, strict=True)
+    size = np.array(own, float)
+    ratio = size / np.array(tags, float)
+    value = smoothed(ratio)
+    threshold = cluster_threshold(value)
+    upper = value >= threshold
     held: dict[int, float] = {}
     for path, n in zip((p for p, u in zip(paths, upper, strict=True) if u), size[upper], strict=True):
         for container in path:
@@ -213,8 +217,15 @@ def main_text(html: str) -> str:
                 break
         if page.kinds[region] not in ("html", "body"):
             return " ".join(t for t, p in zip(texts, paths, strict=True) if region in p)
-    at = np.flatnonzero(upper)
-    return " ".join(texts[at[0] : at[-1] + 1])
+    at = np.flatnonzero(upper & (size > 0))
+    if not len(at):
+        return " ".join(texts)
+    first, last = at[0], at[-1]
+    while first and ratio[first - 1] >= threshold:  # smoothing lowers the ends of a run
+        first -= 1
+    while last + 1 < len(texts) and ratio[last + 1] >= threshold:
+        last += 1
+    return " ".join(texts[first : last + 1])
 
 
 def extract_pages(pages: DataFrame, html_column: str = "html", *keep: str) -> DataFrame:

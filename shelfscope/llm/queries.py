@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfscope.llm.graph_index import nearest_vectors
 from shelfscope.llm.line_dedup import dedup_lines
 from shelfscope.llm.lm_scoring import score_texts
 from shelfscope.llm.mixing import ROUNDS, mix_sources
@@ -188,6 +189,15 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+# ---- 3: nearest neighbours
+
+
+@query()
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector, by inner product."""
+    return nearest_vectors(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
 # ---- 5: substring dedup
 
 
