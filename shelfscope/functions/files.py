@@ -1,0 +1,45 @@
+"""Compressed files, one small Arrow helper."""
+
+from __future__ import annotations
+
+import zlib
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+CHUNK = 1 << 20
+
+
+def count_gzip_lines(data: bytes) -> tuple[int | None, str | None]:
+    """(lines, problem) of a gzip file, decompressed in chunks. LF, CR and CR LF each end a line."""
+    if not data:
+        return None, "empty file"
+    lines, last, rest = 0, b"", memoryview(data)
+    try:
+        while len(rest):  # a file may hold several members
+            member = zlib.decompressobj(wbits=31)
+            while not member.eof:
+                part, rest = rest[:CHUNK], rest[CHUNK:]
+                if not len(part):
+                    return None, "unexpected end"
+                text = member.decompress(part)
+                if text:
+                    lines += text.count(b"\n") + text.count(b"\r") - text.count(b"\r\n") - (last == b"\r" and text[:1] == b"\n")
+                    last = text[-1:]
+            rest = memoryview(data)[len(data) - len(rest) - len(member.unused_data) :]
+            if not any(rest[:CHUNK]) and not any(rest):  # zero padding after the last member
+                break
+    except zlib.error as error:
+        return None, str(error)
+    return lines + (last not in (b"", b"\n", b"\r")), None
+
+
+def gzip_lines(content: Column) -> Column:
+    """struct(rows, problem); rows is NULL where there is a problem."""
+
+    def count(files: pd.Series) -> pd.DataFrame:
+        found = [count_gzip_lines(f) for f in files]
+        return pd.DataFrame({"rows": pd.array([n for n, _ in found], "Int64"), "problem": [p for _, p in found]})
+
+    return F.pandas_udf(count, "rows bigint, problem string")(content)

@@ -259,7 +259,7 @@ def decode_event_key(key: Column) -> Column:
 
 def parse_run_key(key: Column, prefix: str) -> Column:
     """'<prefix><site>/<dt>/<run_id>/...' -> struct(site, dt, run_id); NULL for any other key."""
-    parts = F.split(F.substring(key, len(prefix) + 1, 1 << 30), "/")
+    parts = F.split(F.substr(key, F.lit(len(prefix) + 1)), "/")
     return F.when(
         key.startswith(prefix) & (F.size(parts) >= 4),
         F.struct(F.get(parts, 0).alias("site"), F.get(parts, 1).alias("dt"), F.get(parts, 2).alias("run_id")),
@@ -268,7 +268,7 @@ def parse_run_key(key: Column, prefix: str) -> Column:
 
 def parse_marker_key(key: Column, prefix: str) -> Column:
     """'<prefix><dt>/<run_id>/<marker>' -> struct(dt, run_id); NULL for any other key."""
-    parts = F.split(F.substring(key, len(prefix) + 1, 1 << 30), "/")
+    parts = F.split(F.substr(key, F.lit(len(prefix) + 1)), "/")
     return F.when(
         key.startswith(prefix) & (F.size(parts) >= 3),
         F.struct(F.get(parts, 0).alias("dt"), F.get(parts, 1).alias("run_id")),

@@ -7,10 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfscope import fixed_values as fv
 from shelfscope.functions import images, urls
-from shelfscope.operators.keyed import few_rows, join_spread, latest_per_key
-
-# Keys of about 100 bytes: at most 50 MB are broadcast.
-BROADCAST_KEYS = 500_000
+from shelfscope.operators.keyed import join_spread, keep_keys, latest_per_key
 
 
 def content_keys(blobs: DataFrame, id_col: str, content: str = "content") -> DataFrame:
@@ -67,15 +64,11 @@ def inspect_blobs(blobs: DataFrame) -> DataFrame:
 def validate_images(log: DataFrame, blobs: DataFrame) -> DataFrame:
     """Log rows of one or more runs + blobs (one per key) -> every ok row with its `verdict` and image facts.
 
-    Bytes are hashed and opened where they are read and never shuffled; what is joined to the
-    rows (many may share a blob) are the facts. A short list of wanted keys is broadcast to skip
-    other blobs; for a long one skipping would mean moving bytes, so all given blobs are opened.
+    Only wanted blobs are hashed and opened, once each; what is joined to the rows (many may share a blob) are the facts.
     """
     rows = rows_to_validate(log).withColumn("sha256", urls.sha_from_blob_key(F.col("s3_blob_key")))
-    wanted = rows.select(F.col("s3_blob_key").alias("blob_key")).distinct()
-    if few_rows(wanted, BROADCAST_KEYS):
-        blobs = blobs.join(F.broadcast(wanted), "blob_key", "left_semi")
-    facts = inspect_blobs(blobs).withColumnRenamed("blob_key", "s3_blob_key")
+    wanted = rows.select(F.col("s3_blob_key").alias("blob_key"))
+    facts = inspect_blobs(keep_keys(blobs, wanted, "blob_key")).withColumnRenamed("blob_key", "s3_blob_key")
     joined = join_spread(rows, facts, ["s3_blob_key"], ["site", "primary_key", "url"])
     reason = judge(F.col("sha256"), F.col("actual_sha256"), F.col("info"))
     return joined.withColumn("verdict", reason)

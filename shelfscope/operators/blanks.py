@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from shelfscope import fixed_values as fv
 from shelfscope.functions import jsons
-from shelfscope.functions.text import display_ratio, is_blank_text
+from shelfscope.functions.text import display_ratio, is_blank_text, utc_iso
 from shelfscope.functions.urls import gate_site
 
 
@@ -156,12 +156,13 @@ def site_reports(profile: DataFrame, exceptions: DataFrame, params: GateParams,
     )
 
 
-def _verdict_columns(params: GateParams) -> list[Column]:
+def _verdict_columns(params: GateParams, at: Column | None) -> list[Column]:
     total = F.coalesce(F.sum("row_count"), F.lit(0))
     bad = F.coalesce(F.sum(F.size("violations")), F.lit(0))
     return [
         F.when((total == 0) | (bad > 0), fv.GATE_FAIL).otherwise(fv.GATE_PASS).alias("status"),
         F.lit(fv.GATE_RULE_SET).alias("rule_set"),
+        utc_iso(at if at is not None else F.current_timestamp()).alias("event_time_utc"),
         F.when(total == 0, "empty_input").when(bad > 0, "blank_field_threshold_breach")
         .otherwise("all_rules_passed").alias("reason"),
         total.cast("bigint").alias("total_rows"),
@@ -171,29 +172,29 @@ def _verdict_columns(params: GateParams) -> list[Column]:
     ]
 
 
-def verdict(reports: DataFrame, params: GateParams, by: list[str] = []) -> DataFrame:
-    """One row per run; with no `by`, one row even for empty input, which is a failure."""
-    return reports.groupBy(*by).agg(*_verdict_columns(params))
+def verdict(reports: DataFrame, params: GateParams, by: list[str] = [], at: Column | None = None) -> DataFrame:
+    """One row per run; with no `by`, one row even for empty input, which is a failure. `at`: the report's time."""
+    return reports.groupBy(*by).agg(*_verdict_columns(params, at))
 
 
-def quality_report(reports: DataFrame, params: GateParams, by: list[str] = []) -> DataFrame:
+def quality_report(reports: DataFrame, params: GateParams, by: list[str] = [], at: Column | None = None) -> DataFrame:
     """`verdict` plus the nested `sites` map: the report document, one row per run."""
     detail = F.struct(*[c for c in reports.columns if c not in (*by, "site")])
     entries = F.array_sort(F.collect_list(F.struct(F.col("site"), detail.alias("report"))))
-    return reports.groupBy(*by).agg(*_verdict_columns(params), F.map_from_entries(entries).alias("sites"))
+    return reports.groupBy(*by).agg(*_verdict_columns(params, at), F.map_from_entries(entries).alias("sites"))
 
 
 def run_gate(
-    records: DataFrame, exceptions: DataFrame, params: GateParams | None = None, by: list[str] = []
+    records: DataFrame, exceptions: DataFrame, params: GateParams | None = None, by: list[str] = [], at: Column | None = None
 ) -> DataFrame:
     """records (`fields` maps) -> report rows. The per-site reports are small; only counting them sees the data."""
     params = params or GateParams()
-    return quality_report(site_reports(profile_records(records, by), exceptions, params, by), params, by)
+    return quality_report(site_reports(profile_records(records, by), exceptions, params, by), params, by, at)
 
 
-def error_report(message: str, input_path: str) -> dict:
+def error_report(message: str, input_path: str, at: str) -> dict:
     """What a gate that could not run reports."""
     return {
-        "status": fv.GATE_ERROR, "rule_set": fv.GATE_RULE_SET, "reason": "quality_gate_execution_error",
+        "event_time_utc": at, "status": fv.GATE_ERROR, "rule_set": fv.GATE_RULE_SET, "reason": "quality_gate_execution_error",
         "message": message, "input_jsonl_path": input_path, "violations_count": None,
     }

@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfscope.session import materialize
+
 # A key with more rows than this counts as hot. The hot-key list is small by arithmetic: N rows
 # have at most N / HOT_ROWS such keys (100,000 for a trillion rows), so broadcasting it is safe.
 HOT_ROWS = 10_000_000
-SPREAD = 64
 
 
 def latest_per_key(rows: DataFrame, keys: list[str], order: list[str], payload: list[str]) -> DataFrame:
@@ -33,39 +34,33 @@ def join_spread(
     spread_by: list[str],
     how: str = "left",
     hot_rows: int = HOT_ROWS,
-    spread: int = SPREAD,
 ) -> DataFrame:
     """rows JOIN lookup ON keys, where `lookup` has one row per key and `rows` may have hot keys.
 
-    Hot keys are found by a counting aggregate; their rows are spread over `spread` tasks by a
-    hash of `spread_by` (columns that differ inside a key), their lookup rows are copied that
+    Hot keys are found by a counting aggregate; the rows of each are spread over one part per `hot_rows` of its own
+    rows, by a hash of `spread_by` (columns that differ inside a key), and its lookup row is copied that
     often. Other keys are joined as usual. NULL keys match nothing and need no spreading.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
     hot = (
         rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
-        .select(*keys, F.lit(True).alias("_hot"))
+        .select(*keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_parts"))
     )
-    part = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(spread))).otherwise(F.lit(0))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
-    left = rows.join(F.broadcast(hot), keys, "left").withColumn("_part", part.cast("int")).drop("_hot")
-    right = lookup.join(F.broadcast(hot), keys, "left").withColumn("_part", F.explode(copies)).drop("_hot")
+    parts = F.coalesce("_parts", F.lit(1))
+    part = F.pmod(F.xxhash64(*spread_by), parts).cast("int")
+    left = rows.join(F.broadcast(hot), keys, "left").withColumn("_part", part).drop("_parts")
+    right = lookup.join(F.broadcast(hot), keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
     return left.join(right, [*keys, "_part"], how).drop("_part")
 
 
-def few_rows(keys: DataFrame, limit: int) -> bool:
-    """Whether `keys` has at most `limit` rows; stops counting there."""
-    return keys.limit(limit + 1).count() <= limit
-
-
-def keep_keys(rows: DataFrame, keys: DataFrame, on: str, limit: int = 500_000) -> DataFrame:
-    """Rows whose key is among the distinct `keys`.
+def keep_keys(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows whose key is among the distinct `keys`, and no others, at any number of keys.
 
-    Up to `limit` keys (counted) are broadcast, so wide rows stay where they are read; more keys
-    are joined with a shuffle.
+    The keys are written first, so the planner knows their size: a list below its broadcast threshold goes
+    to the rows, which then stay where they are read; a longer one is joined by a shuffle.
     """
-    return rows.join(F.broadcast(keys) if few_rows(keys, limit) else keys, on, "left_semi")
+    return rows.join(materialize(keys.select(on).distinct(), "wanted-keys"), on, "left_semi")
 
 
 def first_wins(rows: DataFrame, keys: list[str], position: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfscope import fixed_values as fv
 from shelfscope.functions import text, urls
+from shelfscope.functions.files import gzip_lines
 from shelfscope.operators.keyed import first_rows
 
 
@@ -14,7 +15,7 @@ def status_code_counts(stats: Column) -> Column:
     """Entries with the response-status prefix, prefix removed."""
     prefix = fv.STATUS_COUNT_PREFIX
     kept = F.map_filter(stats, lambda k, v: k.startswith(prefix))
-    return F.transform_keys(kept, lambda k, v: F.substring(k, len(prefix) + 1, 1 << 20))
+    return F.transform_keys(kept, lambda k, v: F.substr(k, F.lit(len(prefix) + 1)))
 
 
 def manifest_stats(stats: Column, items: Column) -> Column:
@@ -76,6 +77,39 @@ def artifact_blocks(files: DataFrame, row_counts: DataFrame) -> DataFrame:
     )
 
 
+def run_artifacts(files: DataFrame, folder: str) -> DataFrame:
+    """binaryFile rows of one run's data files -> one row (artifacts).
+
+    A single file is described as it is. Several are summed up under the folder: rows and bytes in all, the digest of
+    their digests in order of name, and the block of each file in `files`. The list has an entry per file of a run.
+    """
+    blocks = files.select(
+        artifact_block(F.col("path"), gzip_lines(F.col("content"))["rows"], F.col("length"), F.col("content")).alias("a")
+    )
+    parts = F.array_sort(F.collect_list("a"), lambda x, y: F.when(x["file_path"] < y["file_path"], -1).otherwise(1))
+    one = F.struct(*[F.get("parts", F.lit(0))[c].alias(c) for c in ARTIFACT_FIELDS], F.lit(None).cast(parts_type(blocks)).alias("files"))
+
+    def joined(kind: str) -> Column:
+        return F.array_join(F.transform("parts", lambda p: p["hashes"][kind]), "")
+
+    several = F.struct(
+        F.col("rows"), F.lit(folder).alias("file_path"), F.col("bytes").alias("file_size_bytes"),
+        F.struct(F.md5(joined("md5")).alias("md5"), F.sha2(joined("sha256"), 256).alias("sha256")).alias("hashes"),
+        F.lit("jsonl.gz").alias("file_format"), F.lit(True).alias("compressed"), F.col("parts").alias("files"),
+    )
+    summed = blocks.agg(
+        F.coalesce(F.sum("a.rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum("a.file_size_bytes"), F.lit(0)).alias("bytes"), parts.alias("parts")
+    )
+    return summed.select(F.when(F.size("parts") == 1, one).otherwise(several).alias("artifacts"))
+
+
+ARTIFACT_FIELDS = ["rows", "file_path", "file_size_bytes", "hashes", "file_format", "compressed"]
+
+
+def parts_type(blocks: DataFrame) -> str:
+    return f"array<{blocks.schema['a'].dataType.simpleString()}>"
+
+
 def entry_points(arguments: Column) -> Column:
     """Only the arguments that name where a run starts."""
     return F.map_filter(arguments, lambda k, v: k.isin(fv.ENTRY_POINT_KEYS))

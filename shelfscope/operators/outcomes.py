@@ -45,19 +45,26 @@ def result_blob(**parts: Column) -> Column:
 
 
 def responses_with_digest(responses: DataFrame) -> DataFrame:
-    """Responses without their bytes: length and SHA-256 instead, so no join moves content."""
-    return responses.select(
+    """Responses without their bytes: length and SHA-256 instead, so no join moves content.
+
+    One row per URL. Of several the latest by `fetched_at` counts, where there is such a column; ties and tables without it
+    go to the highest remaining values, so the result never depends on row order.
+    """
+    facts = ["http_status", "content_type", "bytes", "content_sha256", "error_type", "error_message"]
+    time = F.col("fetched_at") if "fetched_at" in responses.columns else F.lit(None).cast("timestamp")
+    found = responses.select(
         F.col("url").alias("norm_url"), "http_status", "content_type",
         F.length("content").cast("bigint").alias("bytes"), F.sha2("content", 256).alias("content_sha256"),
-        "error_type", "error_message",
+        "error_type", "error_message", time.alias("fetched_at"),
     )
+    return found.groupBy("norm_url").agg(F.max(F.struct("fetched_at", *facts)).alias("r")).select("norm_url", *[f"r.{c}" for c in facts])
 
 
 def job_outcomes(
     planned: DataFrame, responses: DataFrame, run_id: str, root: str = "output/images", blob_prefix: str = "",
     event_time: Column | None = None,
 ) -> DataFrame:
-    """Planned jobs + stored responses (one per URL) -> one result record per job, skips included.
+    """Planned jobs + stored responses (the latest per URL) -> one result record per job, skips included.
 
     A refused request (no response, transport error, HTTP status >= 400) is request_failed; a
     response of another content type is rejected before its bytes count.

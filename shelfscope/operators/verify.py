@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from shelfscope import fixed_values as fv
 from shelfscope.functions import jsons, text, urls
+from shelfscope.functions.files import gzip_lines
 from shelfscope.session import allow_duplicate_json_keys
 from shelfscope.sources.tables import read_blobs
 
 RUN = ["site", "dt", "run_id"]
+EXPECTED_FILE = "struct<file_path string, rows bigint, hashes struct<sha256 string>>"
+EXPECTED_FILES = f"array<{EXPECTED_FILE}>"
 
 
 def manifest_facts(manifests: DataFrame, prefix: str) -> DataFrame:
@@ -29,32 +32,29 @@ def manifest_facts(manifests: DataFrame, prefix: str) -> DataFrame:
             jsons.path_text(doc, "$.run_id").alias("doc_run_id"),
             jsons.path_text(doc, "$.quality_gate.status").alias("gate_status"),
             jsons.path_text(doc, "$.quality_gate.reason").alias("gate_reason"),
-            urls.last_segment(jsons.path_text(doc, "$.artifacts.file_path")).alias("file_name"),
-            jsons.path_text(doc, "$.artifacts.hashes.sha256").alias("expected_sha256"),
-            F.try_variant_get(doc, "$.artifacts.rows", "bigint").alias("expected_rows"),
+            F.coalesce(
+                F.try_variant_get(doc, "$.artifacts.files", EXPECTED_FILES),
+                F.array(F.try_variant_get(doc, "$.artifacts", EXPECTED_FILE)),
+            ).alias("expected_files"),
         )
     )
 
 
-def observed_files(spark: SparkSession, path: str, prefix: str, name_filter: str = "*.gz") -> DataFrame:
-    """(site, dt, run_id, file_name, sha256, row_count) of stored data files.
+def observed_files(spark: SparkSession, path: str | list[str], prefix: str, name_filter: str = "*.gz") -> DataFrame:
+    """(site, dt, run_id, file_name, sha256, row_count, problem) of stored data files.
 
-    The hash comes from the stored bytes, the count from the decompressed lines (blank ones
-    included). A file that cannot be decompressed has no count instead of failing the job.
+    Hash and count come from the same bytes, so no two readings of a path have to be matched. Lines are counted over the
+    decompressed bytes, blank ones included. A file that is no gzip, is cut or damaged has no count but a problem.
     """
-    hashes = read_blobs(spark, path, name_filter).select("path", F.sha2("content", 256).alias("sha256"))
-    lines = (
-        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", name_filter)
-        .option("ignoreCorruptFiles", "true").text(path)
-        .groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("row_count"))
-    )
+    found = read_blobs(spark, path, name_filter)
     # The key is what follows the storage root: cut at the prefix wherever it starts.
     key = F.concat(F.lit(prefix), F.substring_index("path", "/" + prefix, -1))
     return (
-        hashes.join(lines, "path", "left")
-        .withColumn("run", urls.parse_run_key(key, prefix)).where("run IS NOT NULL")
-        .select(F.col("run.*"), urls.last_segment(F.col("path")).alias("file_name"), "sha256",
-                F.coalesce("row_count", F.lit(0)).alias("row_count"))
+        found.select(
+            urls.parse_run_key(key, prefix).alias("run"), urls.last_segment(F.col("path")).alias("file_name"),
+            F.sha2("content", 256).alias("sha256"), gzip_lines(F.col("content")).alias("lines"),
+        )
+        .where("run IS NOT NULL").select("run.*", "file_name", "sha256", F.col("lines.rows").alias("row_count"), "lines.problem")
     )
 
 
@@ -62,19 +62,34 @@ def verify(facts: DataFrame, observed: DataFrame) -> DataFrame:
     """One row per manifest: outcome, failure reason, both checks.
 
     SUCCESS needs matching hash, matching row count and a passed gate. Otherwise a gate that did
-    not pass decides the outcome (its reason may be NULL), else the check error does.
+    not pass decides the outcome (its reason may be NULL), else the check error does. A manifest may list
+    several files; the first bad one by name gives the error.
     """
-    joined = facts.join(observed, [*RUN, "file_name"], "left")
-    error = (
-        F.when(F.col("doc").isNull(), "manifest is not readable")
-        .when(F.coalesce(F.col("file_name"), F.lit("")) == "", "manifest names no data file")
+    if "problem" not in observed.columns:
+        observed = observed.withColumn("problem", F.lit(None).cast("string"))
+    files = facts.select("key", *RUN, F.explode("expected_files").alias("x")).select(
+        "key", *RUN, urls.last_segment(F.col("x.file_path")).alias("file_name"),
+        F.col("x.hashes.sha256").alias("expected_sha256"), F.col("x.rows").alias("expected_rows"),
+    )
+    found = files.join(observed, [*RUN, "file_name"], "left")
+    file_error = (
+        F.when(F.coalesce(F.col("file_name"), F.lit("")) == "", "manifest names no data file")
         .when(F.col("sha256").isNull(), "data file not found")
         .when(~F.col("sha256").eqNullSafe(F.col("expected_sha256")), "Hash mismatch")
+        .when(F.col("problem").isNotNull(), F.concat(F.lit("data file is damaged: "), F.col("problem")))
         .when(~F.col("row_count").eqNullSafe(F.col("expected_rows")), "Row count mismatch")
     )
+    errors = (
+        found.withColumn("e", file_error).groupBy("key", *RUN)
+        .agg(F.count("*").alias("n_files"), F.min_by("e", F.when(F.col("e").isNotNull(), F.coalesce("file_name", F.lit("")))).alias("file_error"))
+    )
+    error = (
+        F.when(F.col("doc").isNull(), "manifest is not readable")
+        .when(F.col("n_files").isNull(), "manifest names no data file").otherwise(F.col("file_error"))
+    )
     gate_ok = F.col("gate_status").eqNullSafe(fv.GATE_PASS)
     return (
-        joined.withColumn("verification_error", error)
+        facts.join(errors, ["key", *RUN], "left").withColumn("verification_error", error).drop("n_files", "file_error")
         .withColumn("verification_ok", F.col("verification_error").isNull())
         .withColumn("gate_ok", gate_ok)
         .withColumn("outcome", outcome_of(F.col("verification_ok"), F.col("gate_ok")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 from dataclasses import dataclass, field
+from datetime import UTC, datetime
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -44,7 +45,7 @@ def gate_report(
         # The report is one row; running it here turns any failure into an error report.
         return spark.createDataFrame([(report.first()["raw"],)], "raw string")
     except (PySparkException, Py4JJavaError) as problem:
-        text = json.dumps(blanks.error_report(str(problem).splitlines()[0], path), ensure_ascii=False)
+        text = json.dumps(blanks.error_report(str(problem).splitlines()[0], path, datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")), ensure_ascii=False)
         return spark.createDataFrame([(text,)], "raw string")
 
 
@@ -62,30 +63,27 @@ def close_run(
         "sample": base.format("metadata") + "/sample",
         "report": base.format("metadata") + "/quality_report",
         "data": os.path.join(config.Environment(env, root).path("crawls"), run.site, run.date, run.run_id),
-        "manifest": base.format("metadata") + "/manifest",
+        "manifest": base.format("metadata") + "/manifest.json",
     }
     numbered = lines.read_numbered_lines(spark, records_path)
     manifest.sample_lines(numbered).select("value").write.mode("overwrite").text(out["sample"])
     report = gate_report(spark, records_path, params, exceptions_file)
     report.write.mode("overwrite").text(out["report"])
     sinks.write_lines(lines.read_lines(spark, records_path).select("value"), out["data"])
-    run_manifests(spark, run, out, report).write.mode("overwrite").text(out["manifest"])
+    sinks.write_document(spark, run_manifest(spark, run, out, report).first()["raw"], out["manifest"])
     return out
 
 
-def run_manifests(spark: SparkSession, run: Run, out: dict[str, str], report: DataFrame) -> DataFrame:
-    """One manifest text per data file of the run."""
+def run_manifest(spark: SparkSession, run: Run, out: dict[str, str], report: DataFrame) -> DataFrame:
+    """The run's manifest text, one row: the totals of its data files and, if there are several, each of them."""
     files = tables.read_blobs(spark, out["data"], "*.gz")
-    counts = (
-        lines.read_lines(spark, out["data"]).groupBy(F.col("file").alias("path")).agg(F.count("*").alias("rows"))
-    )
     counters = F.from_json(F.lit(json.dumps(run.counters)), "map<string,bigint>")
     gate = report.select(
         F.get_json_object("raw", "$.status").alias("status"), F.get_json_object("raw", "$.reason").alias("reason"),
         F.get_json_object("raw", "$.violations_count").try_cast("bigint").alias("violations_count"),
         F.lit(out["report"]).alias("report_path"),
     )
-    facts = manifest.artifact_blocks(files, counts).select(
+    facts = manifest.run_artifacts(files, out["data"]).select(
         F.lit(run.run_id).alias("run_id"), F.lit(run.site).alias("crawler_name"),
         F.lit(run.exit_reason).alias("exit_reason"),
         F.from_json(F.lit(json.dumps(run.arguments)), "map<string,string>").alias("arguments"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -22,6 +23,10 @@ SQL_SETTINGS = {
 }
 
 
+#: Temporary folders of local sessions, by application.
+LOCAL_ROOTS: dict[str, str] = {}
+
+
 def build_session(master: str | None = None, app_name: str = "shelfscope", **extra: str) -> SparkSession:
     """A session with the settings above; `master=None` leaves it to spark-submit."""
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
@@ -40,14 +45,18 @@ def allow_duplicate_json_keys(spark: SparkSession) -> None:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables.
 
-    A cluster names it in `spark.checkpoint.dir`. Only where that is unset (tests,
-    a laptop) do we make a folder of our own and set it for the session.
+    A cluster names it in `spark.checkpoint.dir`. Only a local master, whose tasks run on this machine, may do
+    without: then a temporary folder is made once for the session.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="shelfscope-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+    if root:
+        return root
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in LOCAL_ROOTS:
+        LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="shelfscope-")
+    return LOCAL_ROOTS[app]
 
 
 def materialize(rows: DataFrame, name: str) -> DataFrame:

@@ -35,6 +35,16 @@ def write_lines(lines: DataFrame, path: str) -> None:
     lines.write.mode("overwrite").option("compression", "gzip").text(path)
 
 
+def write_document(spark: SparkSession, document: str, path: str) -> None:
+    """One small text as one file of this name, in whatever file system the path is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        stream.write(bytearray(document.encode("utf-8")))
+    finally:
+        stream.close()
+
+
 def write_run_partitions(rows: DataFrame, path: str, by: tuple[str, ...] = ("dt", "run")) -> None:
     """Gzip JSON lines partitioned by run. A repeated run overwrites its own partition only."""
     (
@@ -90,19 +100,21 @@ def register_partitions(spark: SparkSession, table: str, partitions: DataFrame,
     return done
 
 
-def store_contents(blobs: DataFrame, id_col: str, stored: DataFrame | None, path: str, prefix: str, suffix: str = "") -> None:
-    """Writes content that is not stored yet as (blob_key, sha256, content) rows, one per digest.
+def store_contents(
+    blobs: DataFrame, id_col: str, stored: DataFrame | None, path: str, prefix: str, suffix: str = "", run: str = "all"
+) -> None:
+    """Writes content that is not stored yet as (blob_key, sha256, content) rows of partition `run`, one per digest.
 
-    Digests are compared first; bytes are then read again for the chosen ids, without a shuffle
-    while those are few.
+    Digests are compared first; bytes are then read again for the chosen ids. A repeated run finds its own earlier
+    output (or gets the same `stored`) and leaves the same rows: what the partition already holds is written again with the rest.
     """
     keys = blobs.select(id_col, F.sha2("content", 256).alias("sha256"), F.octet_length("content").alias("bytes"))
     chosen = new_contents(keys, id_col, stored).select(id_col)
     (
         keep_keys(blobs, chosen, id_col)
         .withColumn("sha256", F.sha2("content", 256))
-        .select(urls.blob_key(prefix, F.col("sha256"), F.lit(suffix)).alias("blob_key"), "sha256", "content")
-        .write.mode("append").parquet(path)
+        .select(urls.blob_key(prefix, F.col("sha256"), F.lit(suffix)).alias("blob_key"), "sha256", "content", F.lit(run).alias("run"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path)
     )
 
 

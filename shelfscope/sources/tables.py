@@ -35,13 +35,8 @@ def read_blobs(spark: SparkSession, path: str, name_filter: str | None = None) -
 
 
 def read_manifests(spark: SparkSession, base: str) -> DataFrame:
-    """(path, raw): every manifest.json below `base`, one row per file."""
-    return (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "manifest.json")
-        .text(base, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"))
-    )
+    """(path, raw): every manifest.json below `base`, one row per file; the path is as stored, nothing in it escaped."""
+    return read_blobs(spark, base, "manifest.json").select("path", F.decode("content", "UTF-8").alias("raw"))
 
 
 def single_job(

@@ -44,7 +44,7 @@ def verify_manifests(
             observed = verify.observed_files(spark, folders, data)
         else:
             observed = spark.createDataFrame(
-                [], "site string, dt string, run_id string, file_name string, sha256 string, row_count bigint"
+                [], "site string, dt string, run_id string, file_name string, sha256 string, row_count bigint, problem string"
             )
         verified = verify.verify(facts, observed).persist()
         sinks.write_run_partitions(verify.verified_documents(verified), documents_path, ("site", "dt", "run"))
@@ -63,9 +63,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def marker_stream(spark: SparkSession, path: str) -> DataFrame:
-    """New _SUCCESS rows of the marker table."""
-    return spark.readStream.schema(schemas.RUN_MARKER).json(path).where(F.col("marker") == fv.MARKER_SUCCESS)
+def marker_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+    """New _SUCCESS rows of the marker table. A batch holds so many files at most, also the first one."""
+    return spark.readStream.schema(schemas.RUN_MARKER).option("maxFilesPerTrigger", files_per_batch).json(path).where(F.col("marker") == fv.MARKER_SUCCESS)
 
 
 def register_on_success(

@@ -124,7 +124,7 @@ def test_spread_join_equals_plain_join(spark, how):
     rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"), "id")
     rows = rows.unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k, 9999L AS id"))
     lookup = spark.range(0, 50, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    got = keyed.join_spread(rows, lookup, ["k"], ["id"], how, hot_rows=100, spread=8)
+    got = keyed.join_spread(rows, lookup, ["k"], ["id"], how, hot_rows=100)
     want = rows.join(lookup, ["k"], how)
     assert got.columns == want.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
