@@ -11,6 +11,7 @@ from shelfscope.plans import models
 from shelfscope.sources import config, lines
 
 PARAMS = blanks.GateParams(blank_threshold=0.6, min_rows=8)
+REPORT_TIME = "2024-02-01 10:20:30"
 EXCEPTIONS = {"*": ["toxic"], " SRC1-en ": ["quality"], "src2-en": ["quality", " lang "]}
 
 # Documents with their labels; a label key is absent, not null, where there is none.
@@ -106,10 +107,10 @@ v AS (SELECT count(*) FILTER (WHERE r >= 0.6) AS n FROM c)
 SELECT CASE WHEN n > 0 THEN 'fail_quality' ELSE 'pass' END AS status, 'default' AS rule_set,
   CASE WHEN n > 0 THEN 'blank_field_threshold_breach' ELSE 'all_rules_passed' END AS reason,
   (SELECT count(*) FROM d) AS total_rows, 0.6::DOUBLE AS blank_threshold, 8::BIGINT AS min_rows_for_blank_check,
-  n AS violations_count FROM v
+  n AS violations_count, '2024-02-01T10:20:30Z' AS event_time_utc FROM v
 """)
 def quality_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blanks.verdict(reports(spark, sf_dir), PARAMS)
+    return blanks.verdict(reports(spark, sf_dir), PARAMS, at=F.lit(REPORT_TIME).cast("timestamp_ntz"))
 
 
 @query(f"""WITH {ROWS_SQL}, {_profile_sql('source, site')},
@@ -138,16 +139,17 @@ def report_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(CHECKED_SQL + """
 SELECT 'run' AS run_id, CASE WHEN count(*) FILTER (WHERE r >= 0.6) > 0 THEN 'fail_quality' ELSE 'pass' END AS status,
   CASE WHEN count(*) FILTER (WHERE r >= 0.6) > 0 THEN 'blank_field_threshold_breach' ELSE 'all_rules_passed' END AS reason,
-  (SELECT count(*) FROM d) AS total_rows, count(*) FILTER (WHERE r >= 0.6) AS violations_count, 0.6::DOUBLE AS blank_threshold FROM c
+  (SELECT count(*) FROM d) AS total_rows, count(*) FILTER (WHERE r >= 0.6) AS violations_count, 0.6::DOUBLE AS blank_threshold,
+  '2024-02-01T10:20:30Z' AS event_time_utc FROM c
 """)
 def silver_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Summary columns of the raw quality table."""
-    report = blanks.quality_report(reports(spark, sf_dir), PARAMS)
+    report = blanks.quality_report(reports(spark, sf_dir), PARAMS, at=F.lit(REPORT_TIME).cast("timestamp_ntz"))
     raw = report.select(
         F.lit("run").alias("run_id"), F.to_json(F.struct("*")).alias("raw_json"), F.lit("s").alias("site"), F.lit("d").alias("dt")
     )
     return models.silver_quality(raw).select(
-        "run_id", "status", "reason", "total_rows", "violations_count", "blank_threshold"
+        "run_id", "status", "reason", "total_rows", "violations_count", "blank_threshold", "event_time_utc"
     )
 
 

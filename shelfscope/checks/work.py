@@ -111,14 +111,14 @@ def not_stored_yet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH p AS (SELECT 'https://shop.example/' || doc_id AS url, CAST(least(n_chars // 500, 2000) AS INTEGER) AS total FROM documents)
+WITH p AS (SELECT 'https://shop.example/' || doc_id AS url, CAST(n_chars // 500 AS INTEGER) AS total FROM documents)
 SELECT url, url AS page_url FROM p WHERE total > 1
 UNION ALL
 SELECT url, url || '?page=' || g AS page_url FROM (SELECT url, unnest(generate_series(2, least(total, 9))) AS g FROM p WHERE total > 1)
 """)
 def page_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing pages 1..N of the markup site, at most nine."""
-    total = F.least(F.floor(F.col("n_chars") / 500), F.lit(2000)).cast("int")
+    total = F.floor(F.col("n_chars") / 500).cast("int")
     docs = table(spark, sf_dir, "documents").select(
         F.concat(F.lit("https://shop.example/"), F.col("doc_id").cast("string")).alias("url"), total.alias("total")
     )
@@ -126,7 +126,21 @@ def page_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH p AS (SELECT doc_id, lang = 'en' AS is_sorted, CAST(least(n_chars // 1000, 50) AS INTEGER) AS total FROM documents)
+WITH p AS (SELECT 'https://shop.example/' || doc_id AS url, CAST(n_chars // 500 AS INTEGER) AS total FROM documents)
+SELECT url, url AS page_url FROM p WHERE total > 1
+UNION ALL
+SELECT url, url || '?page=' || g AS page_url FROM (SELECT url, unnest(generate_series(2, total)) AS g FROM p WHERE total > 1)
+""")
+def page_fanout_unlimited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages 1..N of the markup site, all of them."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("https://shop.example/"), F.col("doc_id").cast("string")).alias("url"), F.floor(F.col("n_chars") / 500).cast("int").alias("total")
+    )
+    return docs.select("url", F.explode(arrays.dom_page_urls(F.col("url"), F.col("total"), None)).alias("page_url"))
+
+
+@query("""
+WITH p AS (SELECT doc_id, lang = 'en' AS is_sorted, CAST(n_chars // 1000 AS INTEGER) AS total FROM documents)
 SELECT doc_id, 'https://shop.example/list?fh_sort_by=-newness_ae&p=' || g AS page_url FROM (
   SELECT doc_id, unnest(generate_series(CASE WHEN is_sorted THEN 1 ELSE 0 END, total - 1)) AS g FROM p)
 """)
@@ -136,7 +150,7 @@ def sorted_page_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.when(F.col("lang") == "en", "https://shop.example/list?fh_sort_by=-newness_ae")
         .otherwise("https://shop.example/list?colour=red").alias("url"),
-        F.least(F.floor(F.col("n_chars") / 1000), F.lit(50)).cast("int").alias("total"),
+        F.floor(F.col("n_chars") / 1000).cast("int").alias("total"),
     )
     return docs.select("doc_id", F.explode(arrays.state_page_urls(F.col("url"), F.col("total"))).alias("page_url"))
 

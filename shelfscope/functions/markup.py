@@ -8,6 +8,7 @@ Column expression again.
 
 from __future__ import annotations
 
+import json
 import re
 from html.parser import HTMLParser
 from xml.etree.ElementTree import Element, SubElement
@@ -192,7 +193,7 @@ def _plain_text(html: str | None) -> str | None:
     parser.handle_data = parts.append
     parser.feed(html)
     # No close(): text after an unfinished tag or entity at the very end is left out.
-    return "".join(parts).replace("\n", " ").replace("\xa0", "").replace("‏", "")
+    return "".join(parts)
 
 
 def plain_text(html: Column) -> Column:
@@ -201,7 +202,8 @@ def plain_text(html: Column) -> Column:
     def clean(fragments: pd.Series) -> pd.Series:
         return fragments.map(_plain_text)
 
-    return F.pandas_udf(clean, "string")(html)
+    # A newline becomes a space; the other two have no counterpart and are removed.
+    return F.translate(F.pandas_udf(clean, "string")(html), "\n\u00a0\u200f", " ")
 
 
 # --- native legs ------------------------------------------------------------------------
@@ -229,19 +231,34 @@ def ld_items(blocks: Column) -> Column:
     )
 
 
-def _unnest(items: Column) -> Column:
-    """One level of list or @graph nesting removed."""
-    return F.flatten(
-        F.transform(
-            items,
-            lambda v: F.coalesce(jsons.as_list(v), F.try_variant_get(v, "$['@graph']", jsons.ANY_LIST), F.array(v)),
-        )
-    )
+def _leaf_objects(blocks: list[str] | None) -> list[str]:
+    """JSON texts of all objects that are not mere containers, in page order; works off a stack, so depth does not matter."""
+    found: list[str] = []
+    for block in [] if blocks is None else blocks:
+        try:
+            todo = [json.loads(block)]
+        except (ValueError, RecursionError):
+            continue
+        while todo:
+            value = todo.pop()
+            graph = value.get("@graph") if isinstance(value, dict) else None
+            if isinstance(value, list) or isinstance(graph, list):
+                todo += reversed(value if isinstance(value, list) else graph)
+            elif isinstance(value, dict):
+                found.append(json.dumps(value, ensure_ascii=False))
+    return found
+
+
+def ld_nodes(blocks: Column) -> Column:
+    """Objects of JSON-LD blocks at any depth of lists and @graph containers.
+
+    Columns cannot descend without a limit, so one Arrow function lays the nesting flat.
+    """
 
+    def flat(pages: pd.Series) -> pd.Series:
+        return pages.map(_leaf_objects)
 
-def ld_nodes(items: Column) -> Column:
-    """Objects below lists and @graph containers of `ld_items` (three levels; pages do not nest deeper)."""
-    return _unnest(_unnest(items))
+    return F.transform(F.pandas_udf(flat, "array<string>")(blocks), jsons.parse_whole)
 
 
 def of_type(items: Column, name: str) -> Column:

@@ -106,6 +106,7 @@ def request_plan(
 
 
 def link_targets(html: Column) -> Column:
-    """Sorted distinct link targets of a page."""
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(html, F.lit('href="([^"]*)"'), F.lit(1))))
+    """Sorted distinct link targets of a page: href values in double, single or no quotes, names in any case."""
+    found = F.regexp_extract_all(html, F.lit(r"""(?i)\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""), F.lit(1))
+    return F.array_sort(F.array_distinct(F.transform(found, lambda u: F.regexp_replace(u, r"""^["']|["']$""", ""))))
 

@@ -267,11 +267,11 @@ def api_page_records(pages: DataFrame, run_id: str, crawl_date: str) -> DataFram
     """Product pages of the API site as records, page values only."""
     parsed = pages.select(
         "url", markup.page_signals(F.col("html")).alias("s"), markup.ld_items(markup.ld_json_blocks(F.col("html"))).alias("items"),
-        F.array_join(markup.scripts(F.col("html")), " ").alias("script_text"),
+        markup.ld_nodes(markup.ld_json_blocks(F.col("html"))).alias("nodes"), F.array_join(markup.scripts(F.col("html")), " ").alias("script_text"),
     )
     parsed = compute_once(parsed, {
         "product": markup.of_type(F.col("items"), "Product"), "trails": markup.of_type(F.col("items"), "BreadcrumbList"),
-        "all_trails": markup.of_type(markup.ld_nodes(F.col("items")), "BreadcrumbList"),
+        "all_trails": markup.of_type(F.col("nodes"), "BreadcrumbList"),
     })
     names = ["s", "product", "trails", "all_trails", "script_text", "url"]
     fields = page_fields(*[F.col(c) for c in names])
