@@ -3,7 +3,7 @@
 Importing the modules below fills the registry.
 """
 
-from shelfscope.checks import extraction, images, jobs, manifests, quality, scalars, streams, work  # noqa: F401
+from shelfscope.checks import extraction, images, jobs, manifests, quality, runs, scalars, streams, work  # noqa: F401
 from shelfscope.checks.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
