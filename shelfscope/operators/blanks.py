@@ -9,6 +9,7 @@ All functions take `by`, columns that name a run. One job can then judge many ru
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -32,6 +33,25 @@ class GateParams:
             raise ValueError("min_rows must be >= 1")
 
 
+@dataclass(frozen=True)
+class Rule:
+    """A gate rule: its id, the measure it shows and the test that makes a profile row a violation, from the gate's parameters."""
+
+    name: str
+    ratio: Callable[[], Column]
+    breach: Callable[[Column, GateParams], Column]
+    threshold: Callable[[GateParams], float]
+
+
+#: The gate's rules in the order of their violations. Each looks at one (site, field) row of the profile.
+RULES = [
+    Rule(
+        fv.BLANK_RULE, lambda: F.col("blank_count") / F.col("row_count"), lambda ratio, params: ratio >= params.blank_threshold,
+        lambda params: params.blank_threshold,
+    ),
+]
+
+
 def profile_records(records: DataFrame, by: list[str] = []) -> DataFrame:
     """`fields` map<string,variant> rows -> (by, site, field, row_count, blank_count).
 
@@ -95,8 +115,8 @@ def _with_row_counts(counts: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def judge_fields(profile: DataFrame, exceptions: DataFrame, params: GateParams) -> DataFrame:
-    """Adds `is_checked`, the unrounded `ratio` and `is_violation` to every profile row.
+def judge_fields(profile: DataFrame, exceptions: DataFrame, params: GateParams, rules: list[Rule] = RULES) -> DataFrame:
+    """Adds `is_checked`, the first rule's unrounded `ratio`, and `breaches`: a struct for every rule that the row breaks.
 
     A field is exempt for its site or for all sites ('*'): two equi joins, not one with OR. All
     rows stay, so every later figure comes from this one table.
@@ -107,28 +127,25 @@ def judge_fields(profile: DataFrame, exceptions: DataFrame, params: GateParams)
     checked = (
         (F.col("row_count") >= params.min_rows) & F.col("field").isNotNull() & F.col("_all").isNull() & F.col("_own").isNull()
     )
-    ratio = F.col("blank_count") / F.col("row_count")
+    found = [
+        F.when(checked & rule.breach(rule.ratio(), params), F.struct(
+            F.lit(rule.name).alias("rule"), F.col("blank_count"), F.col("row_count"), display_ratio(rule.ratio()).alias("blank_ratio"),
+            F.lit(rule.threshold(params)).alias("threshold"),
+        ))
+        for rule in rules
+    ]
     return joined.select(
-        *profile.columns, checked.alias("is_checked"), ratio.alias("ratio"),
-        (checked & (ratio >= params.blank_threshold)).alias("is_violation"),
+        *profile.columns, checked.alias("is_checked"), rules[0].ratio().alias("ratio"), F.array_compact(F.array(*found)).alias("breaches")
     )
 
 
 def checked_fields(profile: DataFrame, exceptions: DataFrame, params: GateParams) -> DataFrame:
     """Non-exempt fields of large enough sites."""
-    return judge_fields(profile, exceptions, params).where("is_checked").drop("is_checked")
-
-
-def _violation(params: GateParams) -> list[Column]:
-    return [
-        F.lit(fv.BLANK_RULE).alias("rule"), F.col("blank_count"), F.col("row_count"),
-        display_ratio(F.col("ratio")).alias("blank_ratio"), F.lit(params.blank_threshold).alias("threshold"),
-    ]
+    return judge_fields(profile, exceptions, params).where("is_checked").drop("is_checked", "breaches")
 
 
 def violations(profile: DataFrame, exceptions: DataFrame, params: GateParams, by: list[str] = []) -> DataFrame:
-    found = judge_fields(profile, exceptions, params).where("is_violation")
-    return found.select(*by, "site", "field", *_violation(params))
+    return judge_fields(profile, exceptions, params).select(*by, "site", "field", F.inline("breaches"))
 
 
 def site_reports(profile: DataFrame, exceptions: DataFrame, params: GateParams, by: list[str] = []) -> DataFrame:
@@ -136,7 +153,10 @@ def site_reports(profile: DataFrame, exceptions: DataFrame, params: GateParams,
 
     One aggregate over the judged profile; the lists hold at most the fields of a site.
     """
-    found = F.collect_list(F.when(F.col("is_violation"), F.struct("field", *_violation(params))))
+    own_field = F.transform("breaches", lambda x: F.struct(
+        F.col("field"), x["rule"].alias("rule"), x["blank_count"].alias("blank_count"), x["row_count"].alias("row_count"),
+        x["blank_ratio"].alias("blank_ratio"), x["threshold"].alias("threshold")))
+    found = F.flatten(F.collect_list(own_field))
     per_site = judge_fields(profile, exceptions, params).groupBy(*by, "site").agg(
         F.max("row_count").alias("row_count"), F.count_if("is_checked").alias("checked_fields"),
         F.array_sort(found).alias("violations"),
