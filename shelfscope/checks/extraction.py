@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfscope.checks.registry import query, wide_table
+from shelfscope.checks.registry import query, table
 from shelfscope.functions import arrays
 from shelfscope.operators import listings, products
 
@@ -48,7 +48,7 @@ def dom_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "<div><h4> Highlights </h4><ul><li> soft <li>light</ul><h4>Composition</h4><p>", F.col("p_type"), " </p></div></body></html>",
     )
     url = text_of("https://www.farfetch.com/ae/shopping/women/bag-item-", F.col("p_partkey"), ".aspx?storeid=9")
-    return wide_table(spark, sf_dir, "part", *PART).select(url.alias("url"), html.alias("html"))
+    return table(spark, sf_dir, "part").select(*PART).select(url.alias("url"), html.alias("html"))
 
 
 @query(DOM_SQL)
@@ -88,7 +88,7 @@ def state_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
     html = text_of("<html><script>var a = 1;</script><script>\nwindow.initialState = ", state, ";\nwindow.b = {};</script></html>")
     url = text_of("https://ar.ounass.ae/", F.col("p_partkey"), ".html")
-    return wide_table(spark, sf_dir, "part", *PART).select(url.alias("url"), html.alias("html"))
+    return table(spark, sf_dir, "part").select(*PART).select(url.alias("url"), html.alias("html"))
 
 
 @query(STATE_SQL)
@@ -163,7 +163,7 @@ def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     common = '<meta property="og:title" content="One two three four for Women - x"><nav><ul><li><a>Home</a></li><li><a> Kids </a></li></ul></nav>'
     html = text_of("<html>", F.when(kind == 0, with_json).when(kind == 1, with_meta).when(kind == 2, with_script).otherwise(with_url), common, "</html>")
     url = text_of("https://www.levelshoes.com/ab", key, "-red.html")
-    return wide_table(spark, sf_dir, "part", *PART).select(url.alias("url"), html.alias("html"))
+    return table(spark, sf_dir, "part").select(*PART).select(url.alias("url"), html.alias("html"))
 
 
 def shown(records: DataFrame) -> DataFrame:
@@ -192,7 +192,7 @@ def api_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     empty = F.lit('{"products": []}')
     payload = F.when(F.col("p_size") == 50, empty).otherwise(F.to_json(F.struct(F.array(item).alias("products"))))
-    return wide_table(spark, sf_dir, "part", *PART).select(F.col("p_brand").alias("url"), F.col("p_partkey").alias("page"), payload.alias("payload"))
+    return table(spark, sf_dir, "part").select(*PART).select(F.col("p_brand").alias("url"), F.col("p_partkey").alias("page"), payload.alias("payload"))
 
 
 ITEMS_SQL = """
@@ -250,7 +250,7 @@ def dom_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         '<script type="application/ld+json">[{"@type":"Other"}, ', block, "]</script><div data-component='Pagination'><b>",
         "<span data-component='PaginationLabel'>1 of ", F.col("page_id") % 30, "</span></b></div>",
     )
-    pages = wide_table(spark, sf_dir, "pages", "page_id", "url", "html").select(text_of(F.col("url"), "/items.aspx").alias("url"), html.alias("html"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html").select(text_of(F.col("url"), "/items.aspx").alias("url"), html.alias("html"))
     return listings.expand_dom_listings(pages, limit=4)
 
 
@@ -271,7 +271,7 @@ def state_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("page_id") % 3 == 0, 0).otherwise(1).alias("page"), F.lit("plp").alias("routeType"),
         F.struct((F.col("page_id") % 4).alias("totalPages")).alias("pagination"), hits.alias("hits"),
     ))
-    pages = wide_table(spark, sf_dir, "pages", "page_id", "url", "html").select("page_id", "url", payload.alias("html"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html").select("page_id", "url", payload.alias("html"))
     found = listings.expand_state_listings(pages.withColumn("url", F.concat_ws(" ", "url", F.col("page_id").cast("string"))))
     return found.select(
         F.substring_index("url", " ", -1).cast("bigint").alias("page_id"), F.regexp_replace("found_url", r" \d+(?=\?)", "").alias("found_url"), "kind"
@@ -283,5 +283,5 @@ def item_list_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ItemList blocks whose offers are lists; relative URLs only."""
     offers = F.transform(page_link_column(), lambda u: F.named_struct(F.lit("url"), u))
     block = F.to_json(F.struct(F.lit("ItemList").alias("@type"), F.array(F.struct(offers.alias("offers"))).alias("itemListElement")))
-    pages = wide_table(spark, sf_dir, "pages", "page_id", "url", "html").select("page_id", F.explode(arrays.item_list_urls(block)).alias("u"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html").select("page_id", F.explode(arrays.item_list_urls(block)).alias("u"))
     return pages.select("page_id", F.replace("u", F.lit("https://www.farfetch.com"), F.lit("")).alias("link"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfscope.checks.registry import query, table, wide_table
+from shelfscope.checks.registry import query, table
 from shelfscope.operators import assets
 
 
@@ -58,7 +58,7 @@ def part_images(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     content = F.when(is_broken, broken).otherwise(good)
     sha = F.when(F.col("p_brand").endswith("2"), F.sha2(F.lit("x"), 256)).otherwise(F.sha2("content", 256))
     blob_key = F.concat(F.lit("by-hash/"), F.col("p_partkey").cast("string"), F.lit("/"), sha, F.lit(".png"))
-    made = wide_table(spark, sf_dir, "part", "p_partkey", "p_brand", "p_size", "p_name").select("p_partkey", "p_brand", "p_size", "p_name", content.alias("content")).select(
+    made = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", "p_name").select("p_partkey", "p_brand", "p_size", "p_name", content.alias("content")).select(
         "*", blob_key.alias("blob_key")
     )
     log = made.select(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfscope import fixed_values as fv
-from shelfscope.checks.registry import query, table, wide_table
+from shelfscope.checks.registry import query, table
 from shelfscope.operators import jobs, outcomes
 from shelfscope.operators.keyed import first_wins
 from shelfscope.operators.products import fill_missing
@@ -48,7 +48,7 @@ def input_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "signup", F.lit('{"site": "ounass", "image_url": "x.example.com/a.jpg"}'))
         .when(kind == "view", view).otherwise(purchase)
     )
-    events = wide_table(spark, sf_dir, "events", "event_id", "event_type", "user_id", "value", "props")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "value", "props")
     return events.select(
         F.lit("events").alias("file"), (F.col("event_id") + 1).alias("line_no"), value.alias("value")
     )
@@ -108,7 +108,7 @@ SELECT l_orderkey, l_linenumber, sha1('s|' || l_partkey || '|' || l_suppkey) AS
 def job_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First wins over all line items."""
     order = ["l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice"]
-    items = wide_table(spark, sf_dir, "lineitem", *order, "l_partkey", "l_suppkey").select(*order, F.sha1(F.concat(
+    items = table(spark, sf_dir, "lineitem").select(*order, "l_partkey", "l_suppkey").select(*order, F.sha1(F.concat(
         F.lit("s|"), F.col("l_partkey").cast("string"), F.lit("|"), F.col("l_suppkey").cast("string"))).alias("job_id"))
     return first_wins(items, ["job_id"], order).select("l_orderkey", "l_linenumber", "job_id", "is_first")
 

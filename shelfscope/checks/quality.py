@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfscope.checks.registry import query, table, wide_table
+from shelfscope.checks.registry import query, table
 from shelfscope.operators import blanks
 from shelfscope.plans import models
 from shelfscope.sources import config, lines
@@ -44,7 +44,7 @@ SELECT site, 'field_blankness_threshold' AS rule, field, blank_count, row_count,
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = wide_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     labels = table(spark, sf_dir, "labels")
     return docs.join(labels, "doc_id", "left").withColumn("site", F.concat_ws("-", "source", "lang"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfscope import fixed_values as fv
-from shelfscope.checks.registry import query, table, wide_table
+from shelfscope.checks.registry import query, table
 from shelfscope.functions import arrays, jsons, markup, text, urls
 from shelfscope.operators import listings, manifest, verify
 from shelfscope.sources import seeds
@@ -228,7 +228,7 @@ def stock_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     body = F.create_map(*[F.lit(x) for pair in pdp.items() for x in pair])[F.col("event_type")]
     state = jsons.parse_whole(F.concat(F.lit('{"pdp": '), body, F.lit("}")))
-    rows = wide_table(spark, sf_dir, "events", "event_id", "event_type", "value").select("event_id", "value", state.alias("state"))
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type", "value").select("event_id", "value", state.alias("state"))
     st = F.col("state")
     flags = [jsons.stock_flag(jsons.path_value(st, f"$.pdp.{p}")) for p in fv.STOCK_PATHS]
     return rows.select(
@@ -261,7 +261,7 @@ SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(
 def page_plain_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text nodes of every page. The pages have one script element and no tag inside an attribute, so SQL can say the same."""
     clean = markup.plain_text(F.col("html"))
-    return wide_table(spark, sf_dir, "pages", "page_id", "html").select("page_id", clean.alias("plain"))
+    return table(spark, sf_dir, "pages").select("page_id", "html").select("page_id", clean.alias("plain"))
 
 
 @query("SELECT doc_id, len(string_split(text, chr(10))) AS n_lines, sha1(text) AS sha1, md5(text) AS md5, sha256(text) AS sha256 FROM documents")

@@ -151,8 +151,10 @@ def build_filter(docs: DataFrame, sections: int, bits: int) -> np.ndarray:
     rows = docs.mapInArrow(gather, "section int, ones binary, many binary, counts binary")
     out = np.zeros(bits // 8, np.uint8)
     width = bits // 8 // sections
-    for section, found in rows.repartition("section").sortWithinPartitions("section").mapInArrow(fill, "section int, bits binary").collect():
-        out[section * width : (section + 1) * width] = np.frombuffer(found, np.uint8)  # FILTER_BITS in all
+    filled_sections = rows.repartition("section").sortWithinPartitions("section").mapInArrow(fill, "section int, bits binary")
+    for batch in filled_sections.toArrow().to_batches():  # FILTER_BITS in all, as they are
+        for section, found in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            out[section * width : (section + 1) * width] = np.frombuffer(found.as_buffer(), np.uint8)
     return out
 
 
@@ -238,13 +240,15 @@ def score_texts(
 
     slot = F.pmod(F.col("h"), F.lit(slots))
     hashes, logs = np.zeros(slots, np.int64), np.full(slots, -1.0)
-    for s, h, c in counts.groupBy(slot.alias("slot")).agg(F.max(F.struct("c", "h")).alias("top")).select("slot", "top.h", "top.c").collect():
-        hashes[s], logs[s] = h, np.log10(c + 1)  # one word per slot
+    top = counts.groupBy(slot.alias("slot")).agg(F.max(F.struct("c", "h")).alias("top")).select("slot", "top.h", "top.c")
+    for batch in top.toArrow().to_batches():  # one word per slot, as numbers
+        at = batch.column(0).to_numpy()
+        hashes[at], logs[at] = batch.column(1).to_numpy(), np.log10(batch.column(2).to_numpy() + 1)
     frequent = spark.sparkContext.broadcast((hashes, logs))
 
     def score(batches):
         hasher = WordHasher(lower=True)
-        top, top_log = frequent.value
+        words, word_logs = frequent.value
         for batch in batches:
             out = []
             for _, tokens, left, bounds in token_blocks(batch.column("text"), hasher):
@@ -255,8 +259,8 @@ def score_texts(
                 model = np.add.reduceat(np.log10(weight * seen + (1 - weight) * single), bounds[:-1])
                 signed = tokens.view(np.int64)
                 at = signed % slots
-                known = (top[at] == signed) & (top_log[at] >= 0)
-                part = np.add.reduceat(np.where(known, top_log[at], 0.0), bounds[:-1])
+                known = (words[at] == signed) & (word_logs[at] >= 0)
+                part = np.add.reduceat(np.where(known, word_logs[at], 0.0), bounds[:-1])
                 n_known = np.add.reduceat(known.astype(np.int64), bounds[:-1])
                 lost = np.flatnonzero(~known)
                 edges = np.searchsorted(lost, bounds)

@@ -17,15 +17,6 @@ def read_run_partition(spark: SparkSession, base: str, schema: str, dt: str, run
     return spark.read.schema(schema).json(base).where((F.col("dt") == dt) & (F.col("run") == run))
 
 
-def spread_narrow(scan: DataFrame) -> DataFrame:
-    """A plain table scan with fewer splits than cores (a small file) spread over all cores.
-
-    For heavy work per row. A large table has more splits than cores and is returned as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def read_blobs(spark: SparkSession, path: str, name_filter: str | None = None) -> DataFrame:
     """(path, modificationTime, length, content); `content` is only read where it is used."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
