@@ -32,8 +32,10 @@ SHARE = (80, 100)
 #: Counters of the frequency sketch, merged over all tasks (bytes on each executor).
 SKETCH = 1 << 22
 MIN_HASHES = 4
-#: A token with more documents in its prefix list is listed by component, so lists stay in proportion to their rows.
-SMALL = 4
+#: Groups of a token up to this size are paired by arrays of equal size, larger ones component by component.
+SMALL = 32
+#: Pairs that are looked at together.
+PAIRS = 1 << 18
 #: Partners of one document that are verified in one group.
 PARTNERS = 64
 
@@ -196,75 +198,67 @@ def _may_link(place_a: np.ndarray, place_b: np.ndarray, share: tuple[int, int])
 
 
 def _candidates(prefixes: DataFrame, nodes: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(a, b): pairs of nodes of different components with a common prefix token, a < b, each pair once."""
+    """(a, b): pairs of nodes of different components with a common prefix token, a < b, each pair once.
 
-    def list_pairs(batches):
+    Rows are told their component before any pair is made: tokens of one document and tokens of one component drop out, so
+    what a group of near copies shares stays as many rows as it has.
+    """
+
+    def shared_tokens(batches):
         for table in whole_keys(batches, "token"):
             token, sid, place = (table.column(c).to_numpy() for c in ("token", "sid", "place"))
             once = np.ones(len(token), bool)
             once[1:] = (token[1:] != token[:-1]) | (sid[1:] != sid[:-1])
             token, sid, place = token[once], sid[once], place[once]
-            first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
-            count = np.diff(np.append(first, len(token)))
-            ones, others = [], []
-            for size in np.unique(count[(count > 1) & (count <= SMALL)]):
-                rows = first[count == size][:, None] + np.arange(size)
-                i, j = np.triu_indices(size, 1)
-                i, j = rows[:, i].ravel(), rows[:, j].ravel()
-                good = _may_link(place[i], place[j], share)
-                ones.append(sid[i[good]])
-                others.append(sid[j[good]])
-            if ones:
-                pairs = np.unique(np.stack([np.concatenate(ones), np.concatenate(others)], 1), axis=0)
-                yield _found(pairs[:, 0], pairs[:, 1], None, None)
-            hot = np.repeat(count > SMALL, count)
-            if hot.any():
-                yield _found(sid[hot], None, token[hot], place[hot])
-
-    def _found(a, b, token, place):
-        n = len(a)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(a)] + [pa.nulls(n, pa.int64()) if x is None else pa.array(x) for x in (b, token, place)],
-            ["a", "b", "token", "place"],
-        )
+            first, end = _spans(token)
+            more = np.repeat(end - first > 1, end - first)
+            if more.any():
+                yield pa.RecordBatch.from_arrays([pa.array(x[more]) for x in (token, sid, place)], ["token", "sid", "place"])
 
     def list_across(batches):
-        """Pairs of one token's documents in different components: no more than (rows) * (rows outside the largest)."""
         for table in whole_keys(batches, "token"):
             token, node, place, part = (table.column(c).to_numpy() for c in ("token", "node", "place", "component"))
-            for low, high in zip(*_spans(token), strict=True):
+
+            def pairs(i, j):
+                good = (part[i] != part[j]) & _may_link(place[i], place[j], share)
+                i, j = node[i[good]], node[j[good]]
+                return np.stack([np.minimum(i, j), np.maximum(i, j)], 1)
+
+            first, end = _spans(token)
+            count = end - first
+            found = [np.empty((0, 2), np.int64)]
+            for size in np.unique(count[count <= SMALL]):
+                starts = first[count == size]
+                i, j = np.triu_indices(size, 1)
+                for at in range(0, len(starts), PAIRS // size**2 + 1):
+                    rows = starts[at : at + PAIRS // size**2 + 1, None] + np.arange(size)
+                    found.append(pairs(rows[:, i].ravel(), rows[:, j].ravel()))
+            found = np.unique(np.concatenate(found), axis=0)
+            if len(found):
+                yield _as_pairs(found)
+            for low, high in zip(first[count > SMALL], end[count > SMALL], strict=True):
                 order = np.argsort(part[low:high], kind="stable") + low
-                starts, ends = _spans(part[order])
-                for s, e in zip(starts, ends, strict=True):
+                for s, e in zip(*_spans(part[order]), strict=True):
                     mine, later = order[s:e], order[e:]
-                    step = max(1, (1 << 20) // max(1, len(later)))
-                    for at in range(0, len(mine), step):
-                        i = np.repeat(mine[at : at + step], len(later))
-                        j = np.tile(later, len(mine[at : at + step]))
-                        good = _may_link(place[i], place[j], share)
-                        if good.any():
-                            i, j = i[good], j[good]
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], ["a", "b"]
-                            )
-
-    found = materialize(
-        prefixes.repartition("token").sortWithinPartitions("token", "sid")
-        .mapInArrow(list_pairs, "a long, b long, token long, place long"),
-        "prefix-groups",
+                    step = max(1, PAIRS // max(1, len(later)))
+                    for at in range(0, len(mine) if len(later) else 0, step):
+                        some = mine[at : at + step]
+                        across = pairs(np.repeat(some, len(later)), np.tile(later, len(some)))
+                        if len(across):
+                            yield _as_pairs(across)
+
+    def _as_pairs(found):
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["a", "b"])
+
+    shared = materialize(
+        prefixes.repartition("token").sortWithinPartitions("token", "sid").mapInArrow(shared_tokens, PREFIX_SCHEMA)
+        .join(nodes, "sid").select("token", "node", "place", "component"), "shared-tokens",
     )
-    pairs = found.where("b is not null").select("a", "b").distinct()
-    for end in ("a", "b"):
-        known = nodes.select(F.col("sid").alias(end), F.col("node").alias(f"node_{end}"), F.col("component").alias(f"in_{end}"))
-        pairs = pairs.join(known, end)
-    pairs = pairs.where("in_a <> in_b").select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
-    hot = found.where("token is not null").select(F.col("a").alias("sid"), "token", "place").join(nodes, "sid")
-    mixed = hot.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
-    across = (
-        hot.join(mixed, "token").select("token", "node", "place", "component")
-        .repartition("token").sortWithinPartitions("token").mapInArrow(list_across, "a long, b long")
+    mixed = shared.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
+    return (
+        shared.join(mixed, "token").repartition("token").sortWithinPartitions("token")
+        .mapInArrow(list_across, "a long, b long").distinct()
     )
-    return pairs.union(across).distinct()
 
 
 def _spans(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
