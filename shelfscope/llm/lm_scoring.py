@@ -280,6 +280,8 @@ def score_texts(
         ),
         "scored",
     )
+    for used in (shared, frequent):  # the scores are written, so the executors need not hold these any longer
+        used.destroy()
     rare = (
         scored.select("uid", F.explode("rest").alias("h")).groupBy("uid", "h").agg(F.count("*").alias("n")).join(counts, "h")
         .groupBy("uid").agg(F.sum("n").alias("more_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("more"))
