@@ -3,7 +3,9 @@
 The filter holds the counts of words and word pairs as powers of two: an n-gram with count c is entered under its levels
 1 to floor(log2(c)) + 1. A count is read by probing level 1, 2, .. until a level is missing; a chance hit adds a
 level, never removes one. Each n-gram's bits lie in the section of the filter that its hash names, so the
-task that has gathered all counts of a section also writes it, and sections are put side by side and broadcast.
+task that has gathered all counts of a section also writes it. It knows the section's entries by then and makes the section
+as wide as they need, so the rate of chance hits is the same for every corpus. Ranges of sections are broadcast, each of at
+most RANGE_BYTES; where there are several, a task holds one at a time and asks it for the n-grams of many texts at once.
 
 Pair probabilities are mixed with word probabilities. The mixing weights (one per level of the left word) are those that
 explain the training texts best when each pair is counted without itself.
@@ -11,6 +13,8 @@ explain the training texts best when each pair is counted without itself.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -19,8 +23,12 @@ from pyspark.sql import functions as F
 from shelfscope.llm.words import WordHasher, mix, odd_numbers, word_blocks
 from shelfscope.session import materialize
 
-#: Size of the filter (64 MB), whatever the corpus; about 10 bits an entry keep chance hits near 1 in 50.
-FILTER_BITS = 1 << 29
+#: Bits of the filter for an entry; two places each leave a chance hit at (1 - exp(-2 / 10))^2, 1 in 30.
+ENTRY_BITS = 10
+#: Most bytes of the filter that are broadcast as one piece and that a task holds at a time.
+RANGE_BYTES = 1 << 26
+#: Tokens that are looked up together where the filter has several ranges.
+PROBED = 1 << 21
 #: N-grams that a task gathers before it passes their counts on, and n-grams per section of the filter.
 HELD = 1 << 22
 SECTION_GRAMS = 1 << 19
@@ -74,19 +82,26 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return materialize(docs.mapInArrow(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "word-counts")
 
 
-def _bit_places(keys: np.ndarray, level: int, sections: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two places inside the section of each key."""
-    inside = np.uint64(bits // sections - 1)
+class FilterRange(NamedTuple):
+    """Neighbouring sections of the filter: section first + i has the bytes starts[i] to starts[i + 1] of `cells`."""
+
+    first: int
+    starts: np.ndarray
+    cells: np.ndarray
+
+
+def _bit_places(keys: np.ndarray, level: int, width: np.ndarray | np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """Two places inside the section of each key, which has `width` (below 2^32) bits."""
     h = mix(keys + np.uint64(level * int(odd_numbers(79, 1)[0]) % 2**64))
-    return h & inside, (h >> np.uint64(32)) & inside
+    return ((h & np.uint64(2**32 - 1)) * width) >> np.uint64(32), ((h >> np.uint64(32)) * width) >> np.uint64(32)
 
 
 def _section(keys: np.ndarray, sections: int) -> np.ndarray:
     return keys >> np.uint64(64 - (sections.bit_length() - 1)) if sections > 1 else np.zeros(len(keys), np.uint64)
 
 
-def build_filter(docs: DataFrame, sections: int, bits: int) -> np.ndarray:
-    """The filter over the texts' words and pairs, as bytes."""
+def filter_sections(docs: DataFrame, sections: int, bits: int | None = None) -> DataFrame:
+    """(section, bits): the filter over the texts' words and pairs; as wide as its entries need, or of `bits` bits in all."""
 
     def gather(batches):
         hasher = WordHasher(lower=True)
@@ -138,10 +153,11 @@ def build_filter(docs: DataFrame, sections: int, bits: int) -> np.ndarray:
     def filled(section, keys, counts):
         keys, inverse = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(inverse, np.concatenate(counts), len(keys))
-        cells = np.zeros(bits // sections, bool)
+        width = bits // sections if bits else -(-ENTRY_BITS * int(np.frexp(total)[1].sum()) // 8) * 8  # frexp: floor(log2) + 1
+        cells = np.zeros(width, bool)
         level = 1
         while len(keys):
-            for place in _bit_places(keys, level, sections, bits):
+            for place in _bit_places(keys, level, np.uint64(width)):
                 cells[place] = True
             level += 1
             more = total >= 2 ** (level - 1)
@@ -149,25 +165,51 @@ def build_filter(docs: DataFrame, sections: int, bits: int) -> np.ndarray:
         return pa.RecordBatch.from_arrays([pa.array([section], pa.int32()), pa.array([np.packbits(cells).tobytes()])], ["section", "bits"])
 
     rows = docs.mapInArrow(gather, "section int, ones binary, many binary, counts binary")
-    out = np.zeros(bits // 8, np.uint8)
-    width = bits // 8 // sections
-    filled_sections = rows.repartition("section").sortWithinPartitions("section").mapInArrow(fill, "section int, bits binary")
-    for batch in filled_sections.toArrow().to_batches():  # FILTER_BITS in all, as they are
+    return rows.repartition("section").sortWithinPartitions("section").mapInArrow(fill, "section int, bits binary")
+
+
+def _read_range(rows: DataFrame, first: int, sizes: np.ndarray) -> FilterRange:
+    """The sections first .. first + len(sizes) - 1 of (section, bits) rows; sections without a row have no bytes."""
+    starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    cells = np.zeros(starts[-1], np.uint8)
+    for batch in rows.where(F.col("section").between(first, first + len(sizes) - 1)).toArrow().to_batches():  # RANGE_BYTES, or one section
         for section, found in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            out[section * width : (section + 1) * width] = np.frombuffer(found.as_buffer(), np.uint8)
-    return out
+            cells[starts[section - first] : starts[section - first + 1]] = np.frombuffer(found.as_buffer(), np.uint8)
+    return FilterRange(first, starts, cells)
+
+
+def filter_ranges(rows: DataFrame, sections: int, most: int):
+    """The FilterRanges of a filter, in order, each of at most `most` bytes or one section."""
+    sizes = np.zeros(sections, np.int64)
+    for section, n in rows.select("section", F.length("bits")).collect():  # two numbers per SECTION_GRAMS n-grams
+        sizes[section] = n
+    first = 0
+    while first < sections:
+        last = max(first + 1, int(np.searchsorted(np.cumsum(sizes[first:]), most, "right")) + first)
+        yield _read_range(rows, first, sizes[first:last])
+        first = last
 
 
-def read_levels(cells: np.ndarray, keys: np.ndarray, sections: int) -> np.ndarray:
-    """The highest level of each key up to which no level is missing; 0 for keys not held."""
-    bits = 8 * len(cells)
+def build_filter(docs: DataFrame, sections: int, bits: int | None = None) -> FilterRange:
+    """The whole filter as one range."""
+    return next(filter_ranges(materialize(filter_sections(docs, sections, bits), "filter"), sections, 1 << 62))
+
+
+def read_levels(held: FilterRange, keys: np.ndarray, sections: int) -> np.ndarray:
+    """The highest level of each key up to which no level is missing; 0 for keys not held or of other ranges."""
     out = np.zeros(len(keys), np.int8)
-    alive = np.arange(len(keys))
-    base = _section(keys, sections) * np.uint64(bits // sections)
+    section = _section(keys, sections).astype(np.int64) - held.first
+    alive = np.flatnonzero((section >= 0) & (section < len(held.starts) - 1))
+    base = held.starts[section[alive]]
+    width = (held.starts[section[alive] + 1] - base).astype(np.uint64) * np.uint64(8)
+    base = base.astype(np.uint64) * np.uint64(8)
+    there = width > 0
+    alive, base, width = alive[there], base[there], width[there]
     for level in range(1, LEVELS):
         for k in (0, 1):
-            place = _bit_places(keys[alive], level, sections, bits)[k] + base[alive]
-            alive = alive[(cells[place >> np.uint64(3)] >> (7 - (place & np.uint64(7))).astype(np.uint8)) & 1 == 1]
+            place = _bit_places(keys[alive], level, width)[k] + base
+            there = (held.cells[place >> np.uint64(3)] >> (7 - (place & np.uint64(7))).astype(np.uint8)) & 1 == 1
+            alive, base, width = alive[there], base[there], width[there]
         if not len(alive):
             break
         out[alive] = level
@@ -180,30 +222,66 @@ def _expected(levels: np.ndarray) -> np.ndarray:
     return table[levels]
 
 
-def _levels_of(cells: np.ndarray, sections: int, tokens: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, ...]:
+def _held_ranges(shared: list):
+    """The ranges of the filter; of several, only the one in use is kept."""
+    if len(shared) == 1:
+        yield shared[0].value
+        return
+    for one in shared:
+        yield one.load_from_path(one._path) if one._path else one.value  # value would keep all of them
+
+
+def _levels_of(shared: list, sections: int, tokens: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, ...]:
     """Levels of the tokens, of their left neighbours and of the pairs; each different word is probed once."""
     words, place = np.unique(np.concatenate([tokens, left]), return_inverse=True)
-    level = read_levels(cells, words, sections)[place]
-    pair = read_levels(cells, pair_keys(left, tokens), sections)
+    pairs = pair_keys(left, tokens)
+    level, pair = np.zeros(len(words), np.int8), np.zeros(len(pairs), np.int8)
+    for held in _held_ranges(shared):  # a key is in one of them, the others give 0
+        level += read_levels(held, words, sections)
+        pair += read_levels(held, pairs, sections)
+    level = level[place]
     return level[: len(tokens)], level[len(tokens) :], np.minimum(pair, np.minimum(level[: len(tokens)], level[len(tokens) :]))
 
 
-def _fit_mixes(docs: DataFrame, shared, sections: int, total: int, distinct: int) -> np.ndarray:
+def _lots(batches, hasher: WordHasher, shared: list):
+    """(rows without their texts, tokens, left neighbours, bounds): blocks of texts, PROBED tokens together if there are several ranges."""
+    held, size = [], 0
+    for batch in batches:
+        rows = batch.select([c for c in batch.schema.names if c != "text"])
+        for first, tokens, left, bounds in token_blocks(batch.column("text"), hasher):
+            held.append((rows.slice(first, len(bounds) - 1), tokens, left, bounds))
+            size += len(tokens)
+            if len(shared) == 1 or size >= PROBED:
+                yield _one_lot(held)
+                held, size = [], 0
+    if held:
+        yield _one_lot(held)
+
+
+def _one_lot(held: list[tuple]) -> tuple:
+    rows, tokens, left, bounds = zip(*held, strict=True)
+    before = np.cumsum([0, *(b[-1] for b in bounds)])
+    return (
+        pa.Table.from_batches(rows).combine_chunks(), np.concatenate(tokens), np.concatenate(left),
+        np.concatenate([[0], *(b[1:] + n for b, n in zip(bounds, before[:-1], strict=True))]),
+    )
+
+
+def _fit_mixes(docs: DataFrame, shared: list, sections: int, total: int, distinct: int) -> np.ndarray:
     """For each level of the left word, the mixing weight that explains the texts best, each pair taken out of its own count."""
 
     def explain(batches):
         hasher = WordHasher(lower=True)
         gain = np.zeros((LEVELS, len(MIXES)))
-        for batch in batches:
-            for _, tokens, left, _ in token_blocks(batch.column("text"), hasher):
-                word, before, pair = _levels_of(shared.value, sections, tokens, left)
-                kinds, n = np.unique(word.astype(np.int64) * 10_000 + before.astype(np.int64) * 100 + pair, return_counts=True)
-                word, before, pair = kinds // 10_000, kinds // 100 % 100, kinds % 100
-                single = np.maximum(_expected(word) - 1, 0) + 1
-                single = single / (total + distinct + 1)
-                seen = np.maximum(_expected(pair) - 1, 0) / np.maximum(_expected(before) - 1, 1)
-                value = np.log10(MIXES * np.minimum(seen, 1)[:, None] + (1 - MIXES) * single[:, None]) * n[:, None]
-                np.add.at(gain, before, value)
+        for _, tokens, left, _ in _lots(batches, hasher, shared):
+            word, before, pair = _levels_of(shared, sections, tokens, left)
+            kinds, n = np.unique(word.astype(np.int64) * 10_000 + before.astype(np.int64) * 100 + pair, return_counts=True)
+            word, before, pair = kinds // 10_000, kinds // 100 % 100, kinds % 100
+            single = np.maximum(_expected(word) - 1, 0) + 1
+            single = np.minimum(single / (total + distinct + 1), 1)
+            seen = np.maximum(_expected(pair) - 1, 0) / np.maximum(_expected(before) - 1, 1)
+            value = np.log10(MIXES * np.minimum(seen, 1)[:, None] + (1 - MIXES) * single[:, None]) * n[:, None]
+            np.add.at(gain, before, value)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.repeat(np.arange(LEVELS), len(MIXES))), pa.array(np.tile(np.arange(len(MIXES)), LEVELS)), pa.array(gain.ravel())],
             ["level", "mix", "gain"],
@@ -217,14 +295,15 @@ def _fit_mixes(docs: DataFrame, shared, sections: int, total: int, distinct: int
 
 
 def score_texts(
-    docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_column: str = "text", bits: int = FILTER_BITS,
-    section_grams: int = SECTION_GRAMS, slots: int = SLOTS,
+    docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_column: str = "text", bits: int | None = None,
+    section_grams: int = SECTION_GRAMS, slots: int = SLOTS, range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from the rows where `held_out` is not true. Every text has an end token, so a NULL or empty text has one
     token. base_score is add-one smoothed over exact word counts; score is the filter model's log10 probability. An empty
-    table gives no rows; without training rows all counts are 0. `section_grams` and `slots` steer speed only.
+    table gives no rows; without training rows all counts are 0. The filter has ENTRY_BITS bits for each entry of the corpus, or
+    `bits` in all. `section_grams`, `slots` and `range_bytes` steer speed and memory only.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -234,8 +313,11 @@ def score_texts(
     train = rows.where("not held_out").select("text")
     counts = word_counts(train)
     total, distinct = (x or 0 for x in counts.agg(F.sum("c"), F.count("*")).first())
-    sections = 1 << min(max(4, (2 * total // section_grams).bit_length()), bits.bit_length() - 15)
-    shared = spark.sparkContext.broadcast(build_filter(train, sections, bits))
+    sections = 1 << max(4, (2 * total // section_grams).bit_length())
+    if bits:
+        sections = min(sections, 1 << (bits.bit_length() - 15))
+    filled = materialize(filter_sections(train, sections, bits), "filter")
+    shared = [spark.sparkContext.broadcast(held) for held in filter_ranges(filled, sections, range_bytes)]
     mixes = _fit_mixes(train, shared, sections, total, distinct)
 
     slot = F.pmod(F.col("h"), F.lit(slots))
@@ -249,38 +331,31 @@ def score_texts(
     def score(batches):
         hasher = WordHasher(lower=True)
         words, word_logs = frequent.value
-        for batch in batches:
-            out = []
-            for _, tokens, left, bounds in token_blocks(batch.column("text"), hasher):
-                word, before, pair = _levels_of(shared.value, sections, tokens, left)
-                single = (_expected(word) + 1) / (total + distinct + 1)
-                seen = np.minimum(_expected(pair) / np.maximum(_expected(before), 1), 1)
-                weight = mixes[before]
-                model = np.add.reduceat(np.log10(weight * seen + (1 - weight) * single), bounds[:-1])
-                signed = tokens.view(np.int64)
-                at = signed % slots
-                known = (words[at] == signed) & (word_logs[at] >= 0)
-                part = np.add.reduceat(np.where(known, word_logs[at], 0.0), bounds[:-1])
-                n_known = np.add.reduceat(known.astype(np.int64), bounds[:-1])
-                lost = np.flatnonzero(~known)
-                edges = np.searchsorted(lost, bounds)
-                out.append((np.diff(bounds), n_known, part, model, [signed[lost[a:b]] for a, b in zip(edges[:-1], edges[1:], strict=True)]))
-            n, n_known, part, model, rest = ([x for block in out for x in block[i]] for i in range(5))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("uid"), batch.column("doc_id"), batch.column("held_out"), pa.array(n, pa.int64()), pa.array(n_known, pa.int64()),
-                    pa.array(part, pa.float64()), pa.array(model, pa.float64()), pa.array(rest, pa.list_(pa.int64())),
-                ],
-                ["uid", "doc_id", "held_out", "n_tokens", "n_known", "part", "score", "rest"],
-            )
+        for rows, tokens, left, bounds in _lots(batches, hasher, shared):
+            word, before, pair = _levels_of(shared, sections, tokens, left)
+            single = np.minimum((_expected(word) + 1) / (total + distinct + 1), 1)
+            seen = np.minimum(_expected(pair) / np.maximum(_expected(before), 1), 1)
+            weight = mixes[before]
+            model = np.add.reduceat(np.log10(weight * seen + (1 - weight) * single), bounds[:-1])
+            signed = tokens.view(np.int64)
+            at = signed % slots
+            known = (words[at] == signed) & (word_logs[at] >= 0)
+            part = np.add.reduceat(np.where(known, word_logs[at], 0.0), bounds[:-1])
+            n_known = np.add.reduceat(known.astype(np.int64), bounds[:-1])
+            lost = np.flatnonzero(~known)
+            rest = pa.LargeListArray.from_arrays(np.searchsorted(lost, bounds), pa.array(signed[lost])).cast(pa.list_(pa.int64()))
+            yield from pa.table(
+                [*rows.columns, pa.array(np.diff(bounds)), pa.array(n_known), pa.array(part), pa.array(model), rest],
+                [*rows.column_names, "n_tokens", "n_known", "part", "score", "rest"],
+            ).to_batches()
 
     scored = materialize(
-        rows.withColumn("uid", F.monotonically_increasing_id()).mapInArrow(
+        rows.select(F.monotonically_increasing_id().alias("uid"), "*").mapInArrow(
             score, "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, part double, score double, rest array<long>"
         ),
         "scored",
     )
-    for used in (shared, frequent):  # the scores are written, so the executors need not hold these any longer
+    for used in (*shared, frequent):  # the scores are written, so the executors need not hold these any longer
         used.destroy()
     rare = (
         scored.select("uid", F.explode("rest").alias("h")).groupBy("uid", "h").agg(F.count("*").alias("n")).join(counts, "h")

@@ -82,6 +82,20 @@ def test_filter_levels_are_never_too_low(spark):
         assert (read_levels(cells, mix(keys), sections) > 0).mean() < 0.05
 
 
+def test_chance_hits_do_not_grow_with_the_corpus(spark):
+    for n in (2_000, 200_000):
+        docs = spark.range(n // 100).select(F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: F.hash("id", i).cast("string"))).alias("text"))
+        held = build_filter(docs, 16)
+        assert (read_levels(held, mix(np.arange(50_000, dtype=np.uint64)), 16) > 0).mean() < 0.05
+        assert 8 * len(held.cells) < 11 * 2.1 * n + 1000
+
+
+def test_scores_are_the_same_from_one_range_or_many(spark, rows):
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(2)
+    one, many = (score_texts(docs, F.col("doc_id") % 7 == 2, section_grams=256, range_bytes=n).collect() for n in (1 << 26, 40))
+    assert Counter(one) == Counter(many) and len(one) == len(rows) and all(r.score <= 0 for r in one)
+
+
 def test_language_model_of_empty_tables(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert score_texts(docs, F.lit(False), bits=1 << 16).collect() == []
