@@ -5,7 +5,8 @@ the page with a Gaussian, and the smoothed ratios are clustered in two by a thre
 upper cluster is the content region (its article or main element, if it is in one); its lines are the result. Where the page body
 itself is that container, the upper cluster and the short lines inside its runs are taken.
 
-Elements that say that they are something else (menus, forms, adverts, ..) are left out whatever their ratio.
+Elements that say that they are something else (menus, forms, adverts, ..) are left out whatever their ratio. Where only a class or
+id says so, the element stays if it holds most of the page's article text.
 """
 
 from __future__ import annotations
@@ -35,48 +36,66 @@ OUTSIDE = frozenset(
     "search iframe object canvas svg audio video math datalist".split()
 )
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form toolbar status".split())
-#: Words of class or id values that mark such elements.
+#: Words of class or id values that mark such elements, alone or with other ones or words of LAYOUT.
 OUTSIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner banners sponsor sponsored promo promotion menu submenu nav navbar navigation "
     "breadcrumb breadcrumbs sidebar sidebars footer masthead cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter "
-    "subscribe subscription share sharing social comment comments commentlist reply replies respond disqus discussion related recommended "
+    "subscribe subscription share sharing social comment comments commentlist reply replies respond disqus related recommended "
     "recommendations pagination pager login signup signin toolbar widget widgets skip disclaimer".split()
 )
+#: These mark also as the first or last part of any name.
+OUTSIDE_ENDS = frozenset("advert adverts advertisement advertising adsense breadcrumb breadcrumbs disqus gdpr navbar sponsored".split())
+LAYOUT = frozenset(
+    "left right top bottom upper lower main primary secondary site page post entry article articles posts stories story list box area block bar panel "
+    "container wrapper wrap section inner outer row column col item items link links button buttons icon icons count form slot unit text title header "
+    "body group thread message messages policy accept media follow us global mobile desktop sticky fixed small large the and to of".split()
+)
+#: Share of the page's unlinked text that a marked element must hold to stay, where no article or main tells.
+MOST = 0.8
 OUTSIDE_NAMES = frozenset("header site-header page-header top-header global-header".split())
 #: A new one of these ends an open one of those, as every block ends an open p.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
+def _marks(name: str) -> bool:
+    parts = [x for x in re.split(r"[^a-z]+", name) if x]
+    if name in OUTSIDE_NAMES or parts and (parts[0] in OUTSIDE_ENDS or parts[-1] in OUTSIDE_ENDS):
+        return True
+    return not OUTSIDE_WORDS.isdisjoint(parts) and all(x in OUTSIDE_WORDS or x in LAYOUT for x in parts)
+
+
+def _is_marked(attributes: list) -> bool:
+    """Does a class or id say that the element is something else?"""
+    return any(_marks(n) for name, value in attributes if name in ("class", "id") and value for n in value.lower().split())
+
+
 def _is_outside(tag: str, attributes: list) -> bool:
     if tag in OUTSIDE:
         return True
     if tag in ("html", "body", "article", "main"):
         return False
-    for name, value in attributes:
-        if name == "hidden":
-            return True
-        if not value:
-            continue
-        if name in ("class", "id"):
-            names = value.lower().split()
-            if any(n in OUTSIDE_NAMES or not OUTSIDE_WORDS.isdisjoint(re.split(r"[^a-z]+", n)) for n in names):
-                return True
-        elif name == "role" and value.lower() in OUTSIDE_ROLES:
-            return True
-    return False
+    return any(name == "hidden" or name == "role" and value and value.lower() in OUTSIDE_ROLES for name, value in attributes)
 
 
 class PageLines(HTMLParser):
-    """Collects the lines of a page: text, tags, whether it is outside, and the containers it is in."""
+    """Collects the lines of a page: text, tags, the containers and the marked elements it is in, unlinked characters.
+
+    Numbers of marked elements follow the page, as those of containers do. `articles` are the articles and mains without a mark,
+    `holds_article` the marked elements around them.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool]] = []
+        self.open: list[tuple[str, bool, bool, bool]] = []
         self.count: Counter[str] = Counter()
         self.outside = 0
         self.path: tuple[int, ...] = ()
         self.kinds: list[str] = []
-        self.lines: list[tuple[str, int, tuple[int, ...], int]] = []
+        self.marks: tuple[int, ...] = ()
+        self.n_marks = 0
+        self.articles: set[int] = set()
+        self.holds_article: set[int] = set()
+        self.lines: list[tuple[str, int, tuple[int, ...], int, tuple[int, ...]]] = []
         self.text: list[str] = []
         self.linked = 0
         self.tags = 0
@@ -85,7 +104,7 @@ class PageLines(HTMLParser):
         if self.text:
             line = " ".join("".join(self.text).split())
             if line:
-                self.lines.append((line, max(self.tags, 1), self.path, max(len(line) - self.linked, 0)))
+                self.lines.append((line, max(self.tags, 1), self.path, max(len(line) - self.linked, 0), self.marks))
                 self.tags = 0
             self.text, self.linked = [], 0
 
@@ -98,14 +117,23 @@ class PageLines(HTMLParser):
         if tag in BLOCKS:
             self.close_open({"p"} | CLOSES.get(tag, set()))
         outside = self.outside > 0 or _is_outside(tag, attrs)
-        if outside:
+        mark = not outside and _is_marked(attrs)
+        article = tag in ("article", "main")
+        if outside or mark and tag not in ("html", "body"):
             self.end_line()
         self.outside += outside
         held = tag in CONTAINERS
         if held:
             self.kinds.append(tag)
             self.path = (*self.path, len(self.kinds) - 1)
-        self.open.append((tag, outside, held))
+            if article and not mark:
+                self.articles.add(self.path[-1])
+                self.holds_article.update(self.marks)
+        mark = mark and not article and tag not in ("html", "body")
+        if mark:
+            self.marks = (*self.marks, self.n_marks)
+            self.n_marks += 1
+        self.open.append((tag, outside, held, mark))
         self.count[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
@@ -127,11 +155,13 @@ class PageLines(HTMLParser):
 
     def pop_to(self, depth: int) -> None:
         while len(self.open) > depth:
-            name, outside, held = self.open.pop()
+            name, outside, held, mark = self.open.pop()
             self.count[name] -= 1
-            if outside and self.outside == 1:
+            if outside and self.outside == 1 or mark:
                 self.end_line()
             self.outside -= outside
+            if mark:
+                self.marks = self.marks[:-1]
             if held:
                 self.path = self.path[:-1]
 
@@ -168,6 +198,22 @@ def page_lines(html: str) -> PageLines:
     return parser
 
 
+def article_lines(page: PageLines) -> list[tuple]:
+    """The lines that are in no marked element, or only in such that hold most of the text in articles or, without any, of the page."""
+    if not page.n_marks:
+        return page.lines
+    of_articles = Counter()
+    of_page = Counter()
+    for _, _, path, own, marks in page.lines:
+        in_article = not page.articles.isdisjoint(path)
+        for mark in (-1, *marks):
+            of_page[mark] += own
+            of_articles[mark] += own * in_article
+    whole, least = (of_articles, 0.5) if of_articles[-1] else (of_page, MOST)
+    stay = {m for m in range(page.n_marks) if (m in page.holds_article or not of_articles[-1]) and whole[m] > least * whole[-1]}
+    return [line for line in page.lines if stay.issuperset(line[4])]
+
+
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     """Weighted means with Gaussian weights; at the ends over the lines that there are."""
     reach = int(np.ceil(3 * sigma))
@@ -193,9 +239,10 @@ def cluster_threshold(values: np.ndarray) -> float:
 
 def main_text(html: str) -> str:
     page = page_lines(html)
-    if not page.lines:
+    lines = article_lines(page)
+    if not lines:
         return ""
-    texts, tags, paths, own = zip(*page.lines, strict=True)
+    texts, tags, paths, own, _ = zip(*lines, strict=True)
     size = np.array(own, float)
     ratio = size / np.array(tags, float)
     value = smoothed(ratio)

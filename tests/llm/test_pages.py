@@ -33,6 +33,27 @@ def test_main_text(name, html, want):
     assert got == want if want is not None else LONG in got
 
 
+WRAPPERS = ["content no-sidebar", "with-sidebar", "has-comments", "elementor-widget elementor-widget-theme-post-content", "widget-area-content", "sidebar"]
+
+
+@pytest.mark.parametrize("name", WRAPPERS)
+def test_wrappers_keep_their_article(name):
+    comments = f"<div id=comments><article class=comment><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></article></div>"
+    assert main_text(f"<body><div class='{name}'><article><p>{LONG}</p><p>Yes.</p></article></div></body>") == f"{LONG} Yes."
+    assert main_text(f"<body><div class='{name}'><article><p>{LONG}</p></article>{comments}</div></body>") == LONG
+    assert main_text(f"<body><div class='{name}'><p>{LONG}</p><p>{LONG}</p></div></body>") == f"{LONG} {LONG}"
+
+
+@pytest.mark.parametrize("attribute", ["id=discussion", "class=social-history", "class=share-price", "id=ad-hoc"])
+def test_sections_with_ordinary_names_stay(attribute):
+    assert main_text(f"<article><p>{LONG}</p><section {attribute}><p>{LONG}</p></section></article>") == f"{LONG} {LONG}"
+
+
+@pytest.mark.parametrize("name", ["ad", "ad-slot", "left sidebar", "sidebar-right", "cookie-notice", "comments-area", "social-share", "share-buttons", "sponsored-content"])
+def test_marked_elements_go(name):
+    assert main_text(f"<article><p>{LONG}</p><div class='{name}'><p>{LONG}</p><p>{LONG}</p></div></article>") == LONG
+
+
 def test_deep_and_long_pages_end():
     assert main_text("<div>" * 5000 + LONG + "</div>" * 5000) == LONG
     assert main_text("<p><b>x" * 20_000 + "</i>" * 20_000).startswith("x x x")
