@@ -1,9 +1,10 @@
 """Main text of web pages: text-to-tag ratios over the events of the standard library's parser.
 
 A line is the text between two block boundaries. Its ratio of characters (without those of links) to start tags is smoothed along
-the page with a Gaussian, and the smoothed ratios are clustered in two by a threshold. The innermost container that holds nearly all text of the
-upper cluster is the content region (its article or main element, if it is in one); its lines are the result. Where the page body
-itself is that container, the upper cluster and the short lines inside its runs are taken.
+the page with a Gaussian, and the logarithms of the smoothed ratios are clustered in two by a threshold. If the innermost container of nearly
+all text of the upper cluster is in an article or main element, the lines of that are the result. On other pages it is all lines
+from the first to the last that is not mostly links, but for parts of the page (below the innermost container of these lines) that
+have nothing but links.
 
 Elements that say that they are something else (menus, forms, adverts, ..) are left out whatever their ratio. Where only a class or
 id says so, the element stays if it holds most of the page's article text.
@@ -11,6 +12,7 @@ id says so, the element stays if it holds most of the page's article text.
 
 from __future__ import annotations
 
+import os
 import re
 from collections import Counter
 from html.parser import HTMLParser
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SIGMA = 1.5
-#: Share of the upper cluster's text that the content region must hold.
+#: Share of the upper cluster's text that the article or main element must hold.
 HOLDS = 0.8
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -245,9 +247,8 @@ def main_text(html: str) -> str:
     texts, tags, paths, own, _ = zip(*lines, strict=True)
     size = np.array(own, float)
     ratio = size / np.array(tags, float)
-    value = smoothed(ratio)
-    threshold = cluster_threshold(value)
-    upper = value >= threshold
+    value = np.log1p(smoothed(ratio))  # one very long line does not raise the threshold above all others
+    upper = value >= cluster_threshold(value)
     held: dict[int, float] = {}
     for path, n in zip((p for p, u in zip(paths, upper, strict=True) if u), size[upper], strict=True):
         for container in path:
@@ -260,19 +261,13 @@ def main_text(html: str) -> str:
         for kind in ("article", "main"):
             found = [c for c in around if page.kinds[c] == kind]
             if found:
-                region = found[0]
-                break
-        if page.kinds[region] not in ("html", "body"):
-            return " ".join(t for t, p in zip(texts, paths, strict=True) if region in p)
-    at = np.flatnonzero(upper & (size > 0))
-    if not len(at):
+                return " ".join(t for t, p in zip(texts, paths, strict=True) if found[0] in p)
+    own_text = np.flatnonzero(2 * size >= np.array([len(t) for t in texts]))
+    if not len(own_text):
         return " ".join(texts)
-    first, last = at[0], at[-1]
-    while first and ratio[first - 1] >= threshold:  # smoothing lowers the ends of a run
-        first -= 1
-    while last + 1 < len(texts) and ratio[last + 1] >= threshold:
-        last += 1
-    return " ".join(texts[first : last + 1])
+    depth = len(os.path.commonprefix([paths[i] for i in own_text]))
+    parts = {paths[i][depth : depth + 1] for i in own_text} | {()}
+    return " ".join(texts[i] for i in range(own_text[0], own_text[-1] + 1) if paths[i][depth : depth + 1] in parts)
 
 
 def extract_pages(pages: DataFrame, html_column: str = "html", *keep: str) -> DataFrame:

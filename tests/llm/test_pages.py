@@ -54,6 +54,23 @@ def test_marked_elements_go(name):
     assert main_text(f"<article><p>{LONG}</p><div class='{name}'><p>{LONG}</p><p>{LONG}</p></div></article>") == LONG
 
 
+@pytest.mark.parametrize("tag", ["div", "section", "p", "td"])
+def test_one_very_long_block_among_short_ones(tag):
+    short = [f"{i} " + " ".join([LONG] * 3) for i in range(20)]
+    blocks = [*short[:9], LONG * 200, *short[9:]]
+    inner = f"<h1>Head</h1><{tag}>" + f"</{tag}><{tag}>".join(blocks) + f"</{tag}><p>The end.</p>"
+    if tag == "td":
+        inner = "<h1>Head</h1><table><tr>" + "".join(f"<td>{b}</td>" for b in blocks) + "</tr></table><p>The end.</p>"
+    want = " ".join(["Head", *blocks, "The end."])
+    assert main_text(f"<body><div>{MENU}</div>{inner}<div>{MENU}</div></body>") == want
+    assert main_text(f"<body><div>{MENU}</div><div>{inner}</div><nav>{MENU}</nav></body>") == want
+
+
+def test_siblings_and_links_inside_stay():
+    html = f"<body>Site<div>{MENU}</div><div><h2>A</h2><p>{LONG}</p>{MENU}<p>Short.</p></div><div><p>{LONG}</p></div><div>{MENU}</div></body>"
+    assert main_text(html) == f"Site A {LONG} Home News About us Short. {LONG}"
+
+
 def test_deep_and_long_pages_end():
     assert main_text("<div>" * 5000 + LONG + "</div>" * 5000) == LONG
     assert main_text("<p><b>x" * 20_000 + "</i>" * 20_000).startswith("x x x")
