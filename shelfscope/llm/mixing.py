@@ -2,7 +2,8 @@
 
 Token counts per cell (source, language, topic) are raked until their sums follow the target shares of all three.
 Documents are then sampled with probabilities proportional to their cell's weight, with one factor that makes the
-expected number of tokens the wanted share of all.
+expected number of tokens the wanted share of all. Where that factor takes cells whole, the sample misses the targets:
+`mix_margins` shows by how much, and `follow_targets` takes as many tokens as the targets allow and no more.
 """
 
 from __future__ import annotations
@@ -53,11 +54,14 @@ def group(column: Column, targets: dict[str, float]) -> Column:
     return F.when(column.isin([t for t in targets if t != OTHER]), column).otherwise(F.lit(OTHER))
 
 
-def mix_sources(docs: DataFrame, topic: Column, targets: dict[str, dict[str, float]], budget: float, rounds: int = ROUNDS) -> DataFrame:
+def mix_sources(
+    docs: DataFrame, topic: Column, targets: dict[str, dict[str, float]], budget: float, rounds: int = ROUNDS, follow_targets: bool = False
+) -> DataFrame:
     """All columns of `docs`, and mix_source, mix_lang, mix_topic, mix_tokens, probability and kept.
 
     `targets` has the keys source, lang and topic, each with target shares of tokens by category; every other value,
-    NULL included, is the category "(other)". `budget` is the share of all tokens to keep in expectation. Whether a document is
+    NULL included, is the category "(other)". `budget` is the share of all tokens to keep in expectation; with `follow_targets`
+    it is lowered until no cell is taken beyond its weight, so that the sample's shares are the targets. Whether a document is
     kept follows from a hash of its id (or of its text, if it has no id), so repeated rows stay or go together. A text
     without words counts one token. An empty table gives no rows.
     """
@@ -75,7 +79,10 @@ def mix_sources(docs: DataFrame, topic: Column, targets: dict[str, dict[str, flo
     tokens = np.array([c["n"] for c in cells], float)
     members = [np.array([s.index(c[m]) for c in cells], int) for m, s in zip(margins, shape, strict=True)]
     goals = [np.array([targets[m].get(x, 0.0) for x in s]) for m, s in zip(("source", "lang", "topic"), shape, strict=True)]
-    chance = probabilities(tokens, rake(tokens, members, goals, rounds), budget * tokens.sum())
+    weight = rake(tokens, members, goals, rounds)
+    if follow_targets and len(weight):
+        budget = min(budget, (weight * tokens).sum() / tokens.sum() / weight.max())
+    chance = probabilities(tokens, weight, budget * tokens.sum())
     table = docs.sparkSession.createDataFrame(
         [(*[c[m] for m in margins], float(p)) for c, p in zip(cells, chance, strict=True)],
         "mix_source string, mix_lang string, mix_topic string, probability double",
@@ -86,3 +93,24 @@ def mix_sources(docs: DataFrame, topic: Column, targets: dict[str, dict[str, flo
         rows.join(F.broadcast(table), margins).select(*names, *margins, "mix_tokens", "probability")
         .withColumn("kept", draw < F.col("probability"))
     )
+
+
+def mix_margins(mixed: DataFrame, targets: dict[str, dict[str, float]]) -> list[tuple[str, str, float, float, float]]:
+    """(margin, category, target, expected share of the sample, share of all tokens) of a result of `mix_sources`.
+
+    Targets are shares among the categories that have tokens.
+    """
+    columns = {m: f"mix_{m}" for m in ("source", "lang", "topic")}
+    cells = mixed.groupBy(*columns.values()).agg(F.sum("mix_tokens").alias("n"), F.sum(F.col("mix_tokens") * F.col("probability")).alias("kept"))
+    rows = cells.collect()  # MOST_CELLS at most
+    out = []
+    for margin, column in columns.items():
+        present = sorted({r[column] for r in rows})
+        goal = {c: targets[margin].get(c, 0.0) for c in present}
+        for c in present:
+            of = [r for r in rows if r[column] == c]
+            out.append((
+                margin, c, goal[c] / sum(goal.values()) if sum(goal.values()) else 1 / len(present),
+                sum(r["kept"] for r in of) / (sum(r["kept"] for r in rows) or 1.0), sum(r["n"] for r in of) / sum(r["n"] for r in rows),
+            ))
+    return out

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfscope.llm import packing
 from shelfscope.llm.lm_scoring import build_filter, read_levels, score_texts
-from shelfscope.llm.mixing import mix_sources, probabilities, rake
+from shelfscope.llm.mixing import mix_margins, mix_sources, probabilities, rake
 from shelfscope.llm.packing import Encoder, pack, pack_documents, packing_plan
 from shelfscope.llm.quality import fit_quality, score_quality
 from shelfscope.llm.words import WordHasher, mix
@@ -132,6 +132,19 @@ def test_mixing_keeps_columns_and_treats_repeats_alike(spark, rows):
     assert mix_sources(docs.limit(0), F.lit("t"), targets, 0.5).collect() == []
 
 
+def test_targets_are_met_or_the_miss_is_shown(spark):
+    docs = spark.range(900).selectExpr("id AS doc_id", "'a b c' AS text", "'en' AS lang", "if(id % 3 = 0, 'src0', concat('src', id % 7 + 1)) AS source")
+    targets = {"source": {"src0": 0.1, **{f"src{i}": 0.9 / 7 for i in range(1, 8)}}, "lang": {"en": 1.0}, "topic": {"t": 1.0}}
+    share = {}
+    for follow in (False, True):
+        got = mix_sources(docs, F.lit("t"), targets, 0.8, follow_targets=follow)
+        share[follow] = {c: (target, sample) for margin, c, target, sample, _ in mix_margins(got, targets) if margin == "source"}
+    assert share[False]["src0"] == pytest.approx((0.1, 0.1667), abs=0.005)
+    assert all(target == pytest.approx(sample, abs=1e-6) for target, sample in share[True].values())
+    empty = mix_sources(docs.limit(0), F.lit("t"), targets, 0.8, follow_targets=True)
+    assert empty.collect() == [] and mix_margins(empty, targets) == []
+
+
 def test_plan_uses_every_item_once():
     pick = random.Random(1)
     for _ in range(150):
