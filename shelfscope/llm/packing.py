@@ -46,25 +46,33 @@ def byte_level_ranks(file: dict) -> dict[bytes, int] | None:
     return ranks if None not in in_order and in_order == sorted(in_order) else None
 
 
+def plain_added_tokens(file: dict) -> dict[str, int] | None:
+    """The file's added tokens with their ids; None if they are not simply matched as they stand."""
+    added = {t["content"]: t["id"] for t in file["added_tokens"]}
+    odd = any(t.get(k) for t in file["added_tokens"] for k in ("lstrip", "rstrip", "single_word"))
+    return None if odd or any(a != b and a in b for a in added for b in added) else added
+
+
 class Encoder:
-    """Token ids of a tokenizer file as little-endian 32-bit bytes; strings of special tokens are ordinary text.
+    """Token ids of a tokenizer file as little-endian 32-bit bytes; strings of special tokens are ordinary text, or have their ids if `special`.
 
     Byte-level BPE files run in the faster of the two public encoders, which gives the same ids; any other file runs in the library
     that it is made for.
     """
 
-    def __init__(self, tokenizer_json: str):
-        ranks = byte_level_ranks(json.loads(tokenizer_json))
-        if ranks:
+    def __init__(self, tokenizer_json: str, special: bool = False):
+        file = json.loads(tokenizer_json)
+        ranks, added = byte_level_ranks(file), plain_added_tokens(file) if special else {}
+        if ranks and added is not None:
             import tiktoken
 
-            encoding = tiktoken.Encoding("file", pat_str=BYTE_LEVEL_CUT, mergeable_ranks=ranks, special_tokens={})
-            self.ids = lambda text: encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+            encoding = tiktoken.Encoding("file", pat_str=BYTE_LEVEL_CUT, mergeable_ranks=ranks, special_tokens=added)
+            self.ids = lambda text: encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype("<u4").tobytes()
         else:
             from tokenizers import Tokenizer
 
             tokenizer = Tokenizer.from_str(tokenizer_json)
-            tokenizer.encode_special_tokens = True
+            tokenizer.encode_special_tokens = not special
             self.ids = lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
@@ -73,7 +81,8 @@ def token_pieces(
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): every document's ids and `end_id`, cut only if longer than `capacity`.
 
-    All pieces but the first are full. A NULL text is an empty one: a piece of one id. The tokenizer file is read
+    All pieces but the first are full. Ids are those of the `tokenizers` library with add_special_tokens=False: a special token's string in
+    a text has that token's id. A NULL text is an empty one: a piece of one id. The tokenizer file is read
     here and sent to the executors.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
@@ -82,7 +91,7 @@ def token_pieces(
 
     def encode(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = Encoder(tokenizer.value)
+        encoder = Encoder(tokenizer.value, special=True)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):

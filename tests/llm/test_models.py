@@ -174,6 +174,21 @@ def test_encoder_equals_the_tokenizer(name):
         assert np.frombuffer(encoder.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_special_tokens_in_texts_have_their_ids(spark, name):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path(name))
+    pick = random.Random(3)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|endof", " ", "  ", "\n", "a", "'s", "é", "1", "!"]
+    texts = ["<|endoftext|>", *("".join(pick.choice(parts) for _ in range(pick.randint(1, 8))) for _ in range(300))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in packing.token_pieces(docs, public_tokenizers.path(name)).collect()}
+    for i, text in enumerate(texts):
+        ids = np.array(plain.encode(text, add_special_tokens=False).ids + [2], "<u4")
+        assert got[i] == (len(ids), zlib.crc32(ids.tobytes())), repr(text)
+
+
 @pytest.mark.parametrize("capacity", [16, 1024])
 def test_packed_pieces_fill_sequences_without_gaps(spark, rows, capacity, monkeypatch):
     from tokenizers import Tokenizer
