@@ -237,6 +237,17 @@ def page_link_column() -> Column:
     return F.regexp_extract_all(F.col("html"), F.lit('href="([^"]*)"'), F.lit(1))
 
 
+def dom_listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Markup listings with the links of each page and page totals up to 29."""
+    offers = F.transform(page_link_column(), lambda u: F.named_struct(F.lit("offers"), F.named_struct(F.lit("url"), u)))
+    block = F.to_json(F.struct(F.lit("ItemList").alias("@type"), offers.alias("itemListElement")))
+    html = text_of(
+        '<script type="application/ld+json">[{"@type":"Other"}, ', block, "]</script><div data-component='Pagination'><b>",
+        "<span data-component='PaginationLabel'>1 of ", F.col("page_id") % 30, "</span></b></div>",
+    )
+    return table(spark, sf_dir, "pages").select("page_id", "url", "html").select(text_of(F.col("url"), "/items.aspx").alias("url"), html.alias("html"))
+
+
 @query(f"""WITH {LINKS_SQL}, b AS (SELECT page_id, url || '/items.aspx' AS url, CAST(page_id % 30 AS INTEGER) AS total, url LIKE '%?%' AS has_query FROM pages)
 SELECT b.url, 'https://www.farfetch.com' || link AS found_url, 'product' AS kind FROM l JOIN b ON l.page_id = b.page_id WHERE link LIKE '/%'
 UNION ALL SELECT url, url, 'listing' FROM b WHERE total > 1 AND NOT has_query
@@ -244,14 +255,17 @@ UNION ALL SELECT url, url || '?page=' || g, 'listing' FROM (SELECT url, unnest(g
 """)
 def dom_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product URLs and further pages of the markup site's listings."""
-    offers = F.transform(page_link_column(), lambda u: F.named_struct(F.lit("offers"), F.named_struct(F.lit("url"), u)))
-    block = F.to_json(F.struct(F.lit("ItemList").alias("@type"), offers.alias("itemListElement")))
-    html = text_of(
-        '<script type="application/ld+json">[{"@type":"Other"}, ', block, "]</script><div data-component='Pagination'><b>",
-        "<span data-component='PaginationLabel'>1 of ", F.col("page_id") % 30, "</span></b></div>",
-    )
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html").select(text_of(F.col("url"), "/items.aspx").alias("url"), html.alias("html"))
-    return listings.expand_dom_listings(pages, limit=4)
+    return listings.expand_dom_listings(dom_listing_pages(spark, sf_dir), limit=4)
+
+
+@query(f"""WITH {LINKS_SQL}, b AS (SELECT page_id, url || '/items.aspx' AS url, CAST(page_id % 30 AS INTEGER) AS total, url LIKE '%?%' AS has_query FROM pages)
+SELECT b.url, 'https://www.farfetch.com' || link AS found_url, 'product' AS kind FROM l JOIN b ON l.page_id = b.page_id WHERE link LIKE '/%'
+UNION ALL SELECT url, url, 'listing' FROM b WHERE total > 1 AND NOT has_query
+UNION ALL SELECT url, url || '?page=' || g, 'listing' FROM (SELECT url, unnest(generate_series(2, total)) AS g FROM b WHERE total > 1 AND NOT has_query)
+""")
+def dom_listings_unlimited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with all further pages."""
+    return listings.expand_dom_listings(dom_listing_pages(spark, sf_dir))
 
 
 @query(f"""WITH {LINKS_SQL}, b AS (SELECT page_id, url, split_part(url, '?', 1) AS base, CAST(page_id % 4 AS INTEGER) AS total, page_id % 3 = 0 AS first FROM pages)
