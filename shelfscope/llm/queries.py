@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfscope.llm.graph_index import nearest_vectors
+from shelfscope.llm.lexical_search import search_documents
 from shelfscope.llm.line_dedup import dedup_lines
 from shelfscope.llm.lm_scoring import score_texts
 from shelfscope.llm.mixing import ROUNDS, mix_sources
@@ -297,3 +298,31 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
     )
+
+
+# ---- 13: ranked lexical search
+
+TERMS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+)
+
+
+@query(f"""
+WITH bags AS (SELECT doc_id, {TERMS} AS w FROM documents)
+, corpus AS (SELECT count(*) AS total_docs, sum(len(w))::BIGINT AS total_terms FROM bags WHERE len(w) > 0)
+, asked AS (SELECT DISTINCT item_id, unnest({TERMS}) AS t FROM benchmark)
+, held AS (SELECT doc_id, len(w) AS n, r.t, count(*) AS tf FROM bags, unnest(w) AS r(t) WHERE r.t IN (SELECT t FROM asked) GROUP BY ALL)
+, weights AS (
+    SELECT t, floor(1000 * ln((2 * total_docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM held, corpus GROUP BY t, total_docs
+)
+, scores AS (
+    SELECT item_id, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * total_docs) // total_terms))))::BIGINT AS score
+    FROM asked JOIN held USING (t) JOIN weights USING (t), corpus GROUP BY item_id, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 50
+""")
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return search_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -25,7 +25,7 @@ def test_query_equals_sql(spark, name):
     assert got
     if name in ORACLES:
         con = duckdb.connect()
-        for table in ("documents", "embeddings"):
+        for table in ("documents", "embeddings", "benchmark"):
             con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
         result = con.execute(ORACLES[name])
         names = [d[0] for d in result.description]
