@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfscope.llm.exact_search import nearest_products
 from shelfscope.llm.graph_index import nearest_vectors
 from shelfscope.llm.lexical_search import search_documents
 from shelfscope.llm.line_dedup import dedup_lines
@@ -300,6 +301,26 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---- 12: exact top-k search
+
+
+@query("""
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)
+, scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM scores QUALIFY rank <= 5
+""")
+def op12_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest integer products of every fiftieth vector."""
+    return nearest_products(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
+
+
 # ---- 13: ranked lexical search
 
 TERMS = (
