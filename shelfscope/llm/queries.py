@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfscope.llm.collocations import mine_phrases
 from shelfscope.llm.exact_search import nearest_products
 from shelfscope.llm.graph_index import nearest_vectors
 from shelfscope.llm.lexical_search import search_documents
@@ -301,6 +302,43 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---- 11: phrase collocation mining
+
+
+@query("""
+WITH pieces AS (
+    SELECT doc_id, coalesce(lang, 'und') AS lang, r.i AS piece, regexp_extract_all(parts[r.i], '[^\\x20\\x09]+') AS w
+    FROM (
+        SELECT doc_id, lang, regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\\x0A-\\x0D]') AS parts FROM documents
+    ), unnest(range(1, len(parts) + 1)) AS r(i)
+)
+, totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang)
+, counted AS (
+    SELECT lang, w[r.i:r.i + s.size - 1] AS p, count(*) AS f
+    FROM pieces, (VALUES (1), (2), (3), (4)) AS s(size), unnest(range(1, greatest(len(w) - s.size + 2, 1))) AS r(i) GROUP BY ALL HAVING count(*) >= 30
+)
+, candidates AS (SELECT lang, p, f AS a FROM counted WHERE len(p) >= 2)
+, cuts AS (
+    SELECT c.lang, c.p, a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * a // (x.f::HUGEINT + y.f))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, len(p))) AS k FROM candidates) c
+        JOIN counted x ON x.lang = c.lang AND x.p = c.p[1:k] JOIN counted y ON y.lang = c.lang AND y.p = c.p[k + 1:len(c.p)]
+)
+, lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1)
+, inside AS (
+    SELECT lang, p[r.i:r.i + s.size - 1] AS p, max(a) AS most
+    FROM candidates, (VALUES (2), (3)) AS s(size), unnest(range(1, greatest(len(p) - s.size + 2, 1))) AS r(i) WHERE len(p) > s.size GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank, array_to_string(p, ' ') AS phrase,
+    a, l, r, n, score
+FROM lowest LEFT JOIN inside USING (lang, p) JOIN totals USING (lang)
+WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a QUALIFY rank <= 2000
+""")
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of every language."""
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
 # ---- 12: exact top-k search
 
 
