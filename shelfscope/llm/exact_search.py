@@ -210,21 +210,28 @@ def nearest_products(
     tiles = materialize(tiled(shaped(rows, id_column, vector_column, F.expr(queries), scale), tile, top), "search-tiles")
     first = tiles.where("asks").groupBy("vec_id").agg(F.min(F.struct("dim", "v", "tile", "floor", "means", "deviations")).alias("q"))
 
-    def number(batches):
+    def place(batches):
         from pyspark import TaskContext
 
         part, filled = TaskContext.get().partitionId(), 0
         for batch in batches:
-            blocks = (part << 32) + (filled + np.arange(batch.num_rows)) // block
+            places = [pa.array(np.full(batch.num_rows, part, np.int32)), pa.array(filled + np.arange(batch.num_rows))]
             filled += batch.num_rows
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(blocks)], [*batch.schema.names, "block"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *places], [*batch.schema.names, "part", "place"])
 
     asked = first.select("q.dim", "q.tile", "vec_id", "q.v", "q.floor", "q.means", "q.deviations")
     asked = materialize(
-        asked.repartitionByRange("dim", "tile", "vec_id").sortWithinPartitions("dim", "tile", "vec_id")
-        .mapInArrow(number, "dim int, tile long, vec_id long, v array<double>, floor double, means array<double>, deviations array<double>, block long"),
-        "search-queries",
+        asked.repartitionByRange("dim", "tile", "vec_id").sortWithinPartitions("dim", "tile", "vec_id").mapInArrow(
+            place, "dim int, tile long, vec_id long, v array<double>, floor double, means array<double>, deviations array<double>, part int, place long"
+        ), "search-queries",
     )
+    # blocks are full whatever the number of partitions; one count per partition reaches the driver
+    before, offsets = 0, []
+    for part, filled in sorted(asked.groupBy("part").count().collect()):
+        offsets.append((part, before))
+        before += filled
+    offsets = rows.sparkSession.createDataFrame(offsets, "part int, before long")
+    asked = asked.join(F.broadcast(offsets), "part").withColumn("block", F.floor((F.col("before") + F.col("place")) / block))
     bound, size = box_bound("tile", "block")
     lowest = F.min(F.coalesce("floor", F.lit(float("-inf")))).alias("floor")
     pairs = (
