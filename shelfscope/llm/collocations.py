@@ -37,8 +37,8 @@ COVERED = 80
 NO_LANGUAGE = "und"
 #: Bytes that end a piece, and those that only end a word.
 PIECE_ENDS, WORD_ENDS = b".,;:!?\n\v\f\r", b" \t"
-#: Different phrases that a task holds before it sends them.
-HELD = 1 << 19
+#: Different phrases that a task holds before it sends them, and how many it sends in one batch.
+HELD, SENT = 1 << 18, 1 << 16
 #: Bits of a broadcast filter: ten for each key, 32 MB at most. Beyond that it lets more pass, and the join does the rest.
 MIN_BITS, MAX_BITS = 1 << 16, 1 << 28
 
@@ -185,10 +185,15 @@ def count_words(texts: DataFrame) -> DataFrame:
             taken = tally.take()
             if taken is not None:
                 _, counts, lang, w, word = taken
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([names[i] for i in lang], pa.string()), pa.array(w.view(np.int64)), pa.array(word, pa.string()), pa.array(counts)],
-                    ["lang", "w", "word", "f"],
-                )
+                for at in range(0, len(w), SENT):
+                    some = slice(at, at + SENT)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([names[i] for i in lang[some]], pa.string()), pa.array(w[some].view(np.int64)),
+                            pa.array(word[some], pa.string()), pa.array(counts[some]),
+                        ],
+                        ["lang", "w", "word", "f"],
+                    )
 
         for batch in batches:
             for lang, part in by_language(batch):
@@ -230,9 +235,12 @@ def count_phrases(texts: DataFrame, size: int, begins: np.ndarray, ends: np.ndar
             taken = tally.take()
             if taken is not None:
                 _, counts, lang, *w = taken
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([names[i] for i in lang], pa.string()), *(pa.array(x.view(np.int64)) for x in w), pa.array(counts)], ["lang", *words, "a"]
-                )
+                for at in range(0, len(counts), SENT):
+                    some = slice(at, at + SENT)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([names[i] for i in lang[some]], pa.string()), *(pa.array(x[some].view(np.int64)) for x in w), pa.array(counts[some])],
+                        ["lang", *words, "a"],
+                    )
 
         for batch in batches:
             for lang, part in by_language(batch):
