@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfscope import fixed_values as fv
@@ -14,15 +14,24 @@ from shelfscope.sinks import tables as sinks
 from shelfscope.sources import lines, seeds, tables
 from shelfscope.streaming import streams
 
+#: Document ids that share a file.
+LOT = 10_000
+
 
 @query("SELECT lang, CAST(doc_id AS VARCHAR) AS value, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS line_no FROM documents")
 def numbered_gzip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line numbers of gzip files, one file per language."""
+    """Line numbers of gzip files, a language in many files; those of a language go on from file to file."""
     path = scratch_path(spark, "gzip-lines")
-    rows = table(spark, sf_dir, "documents").select("lang", "doc_id").repartition("lang").sortWithinPartitions("lang", "doc_id")
-    rows.select("lang", F.col("doc_id").cast("string")).write.option("compression", "gzip").partitionBy("lang").text(path)
-    found = lines.read_numbered_lines(spark, path)
-    return found.select(F.regexp_extract("file", "lang=([^/]+)/", 1).alias("lang"), "value", "line_no")
+    rows = table(spark, sf_dir, "documents").select("lang", F.floor(F.col("doc_id") / LOT).alias("lot"), "doc_id")
+    rows = rows.repartition("lang", "lot").sortWithinPartitions("lang", "lot", "doc_id")
+    rows.select("lang", "lot", F.col("doc_id").cast("string")).write.option("compression", "gzip").partitionBy("lang", "lot").text(path)
+    found = lines.read_numbered_lines(spark, path).select(
+        F.regexp_extract("file", "lang=([^/]+)/", 1).alias("lang"), F.regexp_extract("file", "lot=([^/]+)/", 1).cast("long").alias("lot"), "value", "line_no")
+    # one row per file: how many lines the files before it have
+    sizes = found.groupBy("lang", "lot").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("lang").orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("lang", "lot", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    return found.join(offsets, ["lang", "lot"]).select("lang", "value", (F.col("line_no") + F.col("offset")).alias("line_no"))
 
 
 @query("SELECT url FROM pages")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from shelfscope import fixed_values as fv
 from shelfscope.functions import text, urls
-from shelfscope.functions.files import gzip_lines
 from shelfscope.operators.keyed import first_rows
 
 
@@ -57,34 +56,35 @@ def duration(stats: DataFrame) -> DataFrame:
     return stats.withColumn("duration_seconds", seconds_between(F.col("start_time"), F.col("finish_time")))
 
 
-def artifact_block(path: Column, rows: Column, length: Column, content: Column) -> Column:
+def artifact_block(path: Column, rows: Column, length: Column, md5: Column, sha256: Column) -> Column:
     """rows, path, size, md5 + sha256, format, compressed flag of one file."""
     gz = path.endswith(".gz")
     return F.struct(
         rows.cast("bigint").alias("rows"),
         path.alias("file_path"),
         length.cast("bigint").alias("file_size_bytes"),
-        F.struct(F.md5(content).alias("md5"), F.sha2(content, 256).alias("sha256")).alias("hashes"),
+        F.struct(md5.alias("md5"), sha256.alias("sha256")).alias("hashes"),
         F.when(gz, "jsonl.gz").otherwise("jsonl").alias("file_format"),
         gz.alias("compressed"),
     )
 
 
 def artifact_blocks(files: DataFrame, row_counts: DataFrame) -> DataFrame:
-    """binaryFile rows + (path, rows) -> (path, artifacts). Files are hashed where they are read."""
-    return files.join(row_counts, "path", "left").select(
-        "path", artifact_block(F.col("path"), F.coalesce("rows", F.lit(0)), F.col("length"), F.col("content")).alias("artifacts")
+    """(path, length, content) + (path, rows) -> (path, artifacts). Contents are hashed before the join and stay where they are."""
+    hashed = files.select("path", "length", F.md5("content").alias("md5"), F.sha2("content", 256).alias("sha256"))
+    return hashed.join(row_counts, "path", "left").select(
+        "path", artifact_block(F.col("path"), F.coalesce("rows", F.lit(0)), F.col("length"), F.col("md5"), F.col("sha256")).alias("artifacts")
     )
 
 
 def run_artifacts(files: DataFrame, folder: str) -> DataFrame:
-    """binaryFile rows of one run's data files -> one row (artifacts).
+    """`file_facts` of one run's data files -> one row (artifacts).
 
     A single file is described as it is. Several are summed up under the folder: rows and bytes in all, the digest of
     their digests in order of name, and the block of each file in `files`. The list has an entry per file of a run.
     """
     blocks = files.select(
-        artifact_block(F.col("path"), gzip_lines(F.col("content"))["rows"], F.col("length"), F.col("content")).alias("a")
+        artifact_block(F.col("path"), F.col("lines"), F.col("bytes"), F.col("md5"), F.col("sha256")).alias("a")
     )
     parts = F.array_sort(F.collect_list("a"), lambda x, y: F.when(x["file_path"] < y["file_path"], -1).otherwise(1))
     one = F.struct(*[F.get("parts", F.lit(0))[c].alias(c) for c in ARTIFACT_FIELDS], F.lit(None).cast(parts_type(blocks)).alias("files"))

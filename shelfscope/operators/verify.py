@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from shelfscope import fixed_values as fv
 from shelfscope.functions import jsons, text, urls
-from shelfscope.functions.files import gzip_lines
 from shelfscope.session import allow_duplicate_json_keys
-from shelfscope.sources.tables import read_blobs
+from shelfscope.sources.file_facts import file_facts
 
 RUN = ["site", "dt", "run_id"]
 EXPECTED_FILE = "struct<file_path string, rows bigint, hashes struct<sha256 string>>"
@@ -43,18 +42,19 @@ def manifest_facts(manifests: DataFrame, prefix: str) -> DataFrame:
 def observed_files(spark: SparkSession, path: str | list[str], prefix: str, name_filter: str = "*.gz") -> DataFrame:
     """(site, dt, run_id, file_name, sha256, row_count, problem) of stored data files.
 
-    Hash and count come from the same bytes, so no two readings of a path have to be matched. Lines are counted over the
-    decompressed bytes, blank ones included. A file that is no gzip, is cut or damaged has no count but a problem.
+    Hash and count come from one reading in blocks, so no two readings of a path have to be matched and a file may have any size.
+    Lines are counted over the decompressed bytes, blank ones included. A file that is no gzip, is cut or damaged has no count but a problem.
+    Folders that do not exist hold nothing.
     """
-    found = read_blobs(spark, path, name_filter)
+    found = file_facts(spark, path, name_filter, skip_missing=True)
     # The key is what follows the storage root: cut at the prefix wherever it starts.
     key = F.concat(F.lit(prefix), F.substring_index("path", "/" + prefix, -1))
     return (
         found.select(
             urls.parse_run_key(key, prefix).alias("run"), urls.last_segment(F.col("path")).alias("file_name"),
-            F.sha2("content", 256).alias("sha256"), gzip_lines(F.col("content")).alias("lines"),
+            "sha256", F.col("lines").alias("row_count"), "problem",
         )
-        .where("run IS NOT NULL").select("run.*", "file_name", "sha256", F.col("lines.rows").alias("row_count"), "lines.problem")
+        .where("run IS NOT NULL").select("run.*", "file_name", "sha256", "row_count", "problem")
     )
 
 

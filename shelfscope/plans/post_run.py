@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from shelfscope.operators import blanks, manifest
 from shelfscope.sinks import tables as sinks
-from shelfscope.sources import config, lines, tables
+from shelfscope.sources import config, lines
+from shelfscope.sources.file_facts import file_facts
 
 
 @dataclass
@@ -76,7 +77,7 @@ def close_run(
 
 def run_manifest(spark: SparkSession, run: Run, out: dict[str, str], report: DataFrame) -> DataFrame:
     """The run's manifest text, one row: the totals of its data files and, if there are several, each of them."""
-    files = tables.read_blobs(spark, out["data"], "*.gz")
+    files = file_facts(spark, out["data"], "*.gz")
     counters = F.from_json(F.lit(json.dumps(run.counters)), "map<string,bigint>")
     gate = report.select(
         F.get_json_object("raw", "$.status").alias("status"), F.get_json_object("raw", "$.reason").alias("reason"),

@@ -39,7 +39,7 @@ def verify_manifests(
         keyed = arrived.select(F.concat(F.lit(meta), F.substring_index("path", "/" + meta, -1)).alias("key"), "raw")
         facts = verify.manifest_facts(keyed, meta).persist()
         runs = [r for r in facts.select(*verify.RUN).distinct().toLocalIterator()]
-        folders = [p for p in (os.path.join(root, data, r.site, r.dt, r.run_id) for r in runs) if _exists(spark, p)]
+        folders = [os.path.join(root, data, r.site, r.dt, r.run_id) for r in runs]
         if folders:
             observed = verify.observed_files(spark, folders, data)
         else:
@@ -58,11 +58,6 @@ def verify_manifests(
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def marker_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     """New _SUCCESS rows of the marker table. A batch holds so many files at most, also the first one."""
     return spark.readStream.schema(schemas.RUN_MARKER).option("maxFilesPerTrigger", files_per_batch).json(path).where(F.col("marker") == fv.MARKER_SUCCESS)
