@@ -25,10 +25,53 @@ def png(width, height):
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
 
 
-JPEG = b"\xff\xd8\xff\xe0" + struct.pack(">H", 16) + b"JFIF\0" + b"\0" * 9 + b"\xff\xc0" + struct.pack(">HBHHB", 17, 8, 30, 40, 3) + b"\0" * 9
-GIF = b"GIF89a" + struct.pack("<HH", 12, 13) + b"\0\0\0"
-WEBP = b"RIFF\0\0\0\0WEBPVP8X" + struct.pack("<I", 10) + b"\0" * 4 + (49).to_bytes(3, "little") + (59).to_bytes(3, "little")
-AVIF = b"\0\0\0\x18ftypavif" + b"\0" * 8 + b"\0\0\0\x14ispe\0\0\0\0" + struct.pack(">II", 70, 80)
+JPEG_HEAD = b"\xff\xd8\xff\xe0" + struct.pack(">H", 16) + b"JFIF\0" + b"\0" * 9 + b"\xff\xc0" + struct.pack(">HBHHB", 17, 8, 30, 40, 3) + b"\0" * 9
+SCAN = b"\xff\xda" + struct.pack(">H", 12) + b"\3" + b"\0" * 9
+JPEG = JPEG_HEAD + SCAN + b"ab\xff\0c\xff\xd3d" + b"\xff\xff\xc4\0\4xy" + SCAN + b"e" + b"\xff\xd9" + b"rest"
+GIF = b"GIF89a" + struct.pack("<HH", 12, 13) + b"\x81\0\0" + b"\0" * 12 + b"!\xf9\4\0\0\0\0\0" + b"," + b"\0" * 8 + b"\x80" + b"\0" * 6 + b"\2\3abc\1d\0;"
+
+
+def webp(*chunks):
+    body = b"WEBP" + b"".join(kind + struct.pack("<I", len(data)) + data + b"\0" * (len(data) % 2) for kind, data in chunks)
+    return b"RIFF" + struct.pack("<I", len(body)) + body
+
+
+def box(kind, *parts):
+    body = kind + b"".join(parts)
+    return struct.pack(">I", len(body) + 4) + body
+
+
+VP8L = b"\x2f" + (49 | 59 << 14).to_bytes(4, "little") + b"data"
+VP8 = (2 << 5).to_bytes(3, "little") + b"\x9d\x01\x2a" + struct.pack("<HH", 50, 60) + b"dd"
+CANVAS = b"\0" * 4 + (49).to_bytes(3, "little") + (59).to_bytes(3, "little")
+WEBP = webp((b"VP8X", CANVAS), (b"VP8L", VP8L))
+FRAMES = webp((b"VP8X", CANVAS), (b"ANMF", b"\0" * 16 + b"VP8 " + struct.pack("<I", len(VP8)) + VP8))
+
+
+def avif(large=False):
+    size = box(b"ispe", b"\0" * 4, struct.pack(">II", 70, 80))
+    properties = box(b"iprp", box(b"ipco", size), box(b"ipma", b"\0\0\0\1", struct.pack(">IHBH", 1, 3, 1, 0x8001)))
+    head = box(b"ftyp", b"avif\0\0\0\0")
+
+    def meta(start):
+        place = box(b"iloc", b"\1\0\0\0\x44\0", struct.pack(">HHHHHII", 1, 3, 0, 0, 1, start, 5))
+        return box(b"meta", b"\0" * 4, box(b"pitm", b"\0" * 4, b"\0\3"), place, properties)
+
+    data = struct.pack(">I4sQ", 1, b"mdat", 21) + b"coded" if large else box(b"mdat", b"coded")
+    return head + meta(len(head + meta(0)) + len(data) - 5) + data
+
+
+AVIF = avif()
+
+
+def test_every_cut_image_is_broken():
+    wholes = {"png": png(20, 12), "jpeg": JPEG[:-4], "gif": GIF, "webp": WEBP, "avif": AVIF}
+    for name, data in [*wholes.items(), ("webp", webp((b"VP8 ", VP8))), ("webp", FRAMES), ("avif", avif(large=True))]:
+        assert images._probe(data)[0] == name and images._probe(data)[3] is None
+        for length in range(len(data)):
+            assert images._probe(data[:length])[3], (name, length)
+    assert images._probe(JPEG_HEAD + b"\xff\xd9")[3] and images._probe(GIF[:25] + b";")[3] and images._probe(webp((b"VP8X", CANVAS)))[3]
+    assert images._probe(JPEG[:2] + SCAN + b"\xff\xd9")[3] and images._probe(WEBP.replace(b"VP8L/", b"VP8L."))[3] is None
 
 
 def test_image_headers(spark):
