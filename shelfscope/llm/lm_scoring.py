@@ -28,10 +28,12 @@ ENTRY_BITS = 10
 #: Most bytes of the filter that are broadcast as one piece and that a task holds at a time.
 RANGE_BYTES = 1 << 26
 #: Tokens that are looked up together where the filter has several ranges.
-PROBED = 1 << 21
+PROBED = 1 << 19
 #: N-grams that a task gathers before it passes their counts on, and n-grams per section of the filter.
-HELD = 1 << 22
+HELD = 1 << 21
 SECTION_GRAMS = 1 << 19
+#: Keys that are probed at once; the work arrays take some 80 bytes for each.
+SLICE = 1 << 17
 #: Slots of the table of frequent words with exact counts (16 bytes each); all other words are joined.
 SLOTS = 1 << 20
 LEVELS = 40
@@ -197,6 +199,11 @@ def build_filter(docs: DataFrame, sections: int, bits: int | None = None) -> Fil
 
 def read_levels(held: FilterRange, keys: np.ndarray, sections: int) -> np.ndarray:
     """The highest level of each key up to which no level is missing; 0 for keys not held or of other ranges."""
+    parts = [_slice_levels(held, keys[at : at + SLICE], sections) for at in range(0, len(keys), SLICE)]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int8)
+
+
+def _slice_levels(held: FilterRange, keys: np.ndarray, sections: int) -> np.ndarray:
     out = np.zeros(len(keys), np.int8)
     section = _section(keys, sections).astype(np.int64) - held.first
     alive = np.flatnonzero((section >= 0) & (section < len(held.starts) - 1))
@@ -222,21 +229,32 @@ def _expected(levels: np.ndarray) -> np.ndarray:
     return table[levels]
 
 
-def _held_ranges(shared: list):
-    """The ranges of the filter; of several, only the one in use is kept."""
-    if len(shared) == 1:
-        yield shared[0].value
-        return
-    for one in shared:
-        yield one.load_from_path(one._path) if one._path else one.value  # value would keep all of them
+class HeldRanges:
+    """The ranges of the filter, one after the other; of several, only the one in use is kept.
+
+    Every second turn goes backwards, so a turn begins with the range that the one before has left in memory.
+    """
+
+    def __init__(self, shared: list):
+        self.shared, self.order, self.now, self.held = shared, list(range(len(shared))), None, None
+
+    def __iter__(self):
+        for i in self.order:
+            if i != self.now:
+                self.held, one = None, self.shared[i]
+                # value would keep all of them
+                self.held, self.now = one.load_from_path(one._path) if one._path and len(self.shared) > 1 else one.value, i
+            yield self.held
+        self.order.reverse()
 
 
-def _levels_of(shared: list, sections: int, tokens: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, ...]:
+def _levels_of(ranges: HeldRanges, sections: int, tokens: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, ...]:
     """Levels of the tokens, of their left neighbours and of the pairs; each different word is probed once."""
     words, place = np.unique(np.concatenate([tokens, left]), return_inverse=True)
+    place = place.astype(np.int32)
     pairs = pair_keys(left, tokens)
     level, pair = np.zeros(len(words), np.int8), np.zeros(len(pairs), np.int8)
-    for held in _held_ranges(shared):  # a key is in one of them, the others give 0
+    for held in ranges:  # a key is in one of them, the others give 0
         level += read_levels(held, words, sections)
         pair += read_levels(held, pairs, sections)
     level = level[place]
@@ -272,9 +290,9 @@ def _fit_mixes(docs: DataFrame, shared: list, sections: int, total: int, distinc
 
     def explain(batches):
         hasher = WordHasher(lower=True)
-        gain = np.zeros((LEVELS, len(MIXES)))
+        gain, ranges = np.zeros((LEVELS, len(MIXES))), HeldRanges(shared)
         for _, tokens, left, _ in _lots(batches, hasher, shared):
-            word, before, pair = _levels_of(shared, sections, tokens, left)
+            word, before, pair = _levels_of(ranges, sections, tokens, left)
             kinds, n = np.unique(word.astype(np.int64) * 10_000 + before.astype(np.int64) * 100 + pair, return_counts=True)
             word, before, pair = kinds // 10_000, kinds // 100 % 100, kinds % 100
             single = np.maximum(_expected(word) - 1, 0) + 1
@@ -330,9 +348,9 @@ def score_texts(
 
     def score(batches):
         hasher = WordHasher(lower=True)
-        words, word_logs = frequent.value
+        (words, word_logs), ranges = frequent.value, HeldRanges(shared)
         for rows, tokens, left, bounds in _lots(batches, hasher, shared):
-            word, before, pair = _levels_of(shared, sections, tokens, left)
+            word, before, pair = _levels_of(ranges, sections, tokens, left)
             single = np.minimum((_expected(word) + 1) / (total + distinct + 1), 1)
             seen = np.minimum(_expected(pair) / np.maximum(_expected(before), 1), 1)
             weight = mixes[before]
