@@ -61,19 +61,29 @@ class Encoder:
     """
 
     def __init__(self, tokenizer_json: str, special: bool = False):
+        self.file, self.special, self.library = tokenizer_json, special, None
         file = json.loads(tokenizer_json)
         ranks, added = byte_level_ranks(file), plain_added_tokens(file) if special else {}
         if ranks and added is not None:
             import tiktoken
 
             encoding = tiktoken.Encoding("file", pat_str=BYTE_LEVEL_CUT, mergeable_ranks=ranks, special_tokens=added)
-            self.ids = lambda text: encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype("<u4").tobytes()
+            self.fast = lambda text: encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype("<u4").tobytes()
         else:
+            self.fast = None
+
+    def ids(self, text: str) -> bytes:
+        if self.fast:
+            try:
+                return self.fast(text)
+            except ValueError:  # its pattern matcher gives up on a million blanks in a row; the library has the same ids for them
+                pass
+        if self.library is None:
             from tokenizers import Tokenizer
 
-            tokenizer = Tokenizer.from_str(tokenizer_json)
-            tokenizer.encode_special_tokens = not special
-            self.ids = lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            self.library = Tokenizer.from_str(self.file)
+            self.library.encode_special_tokens = not self.special
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def token_pieces(
