@@ -73,6 +73,14 @@ def whole_keys(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table
         yield pa.Table.from_batches(kept)
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """`name`, or with underscores behind it, so that it is none of `columns` in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 # ---- a Bloom filter over ids: a fixed number of bits, may let others pass, never stops a member
 
 FILTER_BITS = 1 << 24

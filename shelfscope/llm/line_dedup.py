@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfscope.llm.blocks import free_name
 from shelfscope.session import materialize
 
 MIN_LENGTH = 40
@@ -130,11 +131,12 @@ def dedup_lines(
     A NULL or empty text is one empty line, and becomes or stays empty. Rows that repeat an id are one document. Rows without id
     neither count nor lose a line. Existing columns n_lines and n_dropped are replaced.
     """
+    drop_id = free_name(docs.columns, "_drop_id")
     drops = (
         lines_to_drop(
             docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")), min_length, **settings
         )
-        .groupBy(F.col("doc_id").alias("_drop_id")).agg(F.collect_list("key").alias("_drop_keys"))
+        .groupBy(F.col("doc_id").alias(drop_id)).agg(F.collect_list("key").alias(free_name(docs.columns, "_drop_keys")))
     )
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     text_at = names.index(text_column)
@@ -158,6 +160,6 @@ def dedup_lines(
             )
 
     rows = docs.select(*[F.col(f"`{c}`") for c in names]).withColumn(text_column, F.col(text_column).cast("string"))
-    joined = rows.join(drops, rows[id_column].cast("long") == drops["_drop_id"], "left").drop("_drop_id")
+    joined = rows.join(drops, rows[id_column].cast("long") == drops[drop_id], "left").drop(drop_id)
     schema = rows.schema.add("n_lines", "long").add("n_dropped", "long")
     return joined.mapInArrow(cut, schema)

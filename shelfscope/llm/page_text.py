@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfscope.llm.blocks import free_name
+
 SIGMA = 1.5
 #: Share of the upper cluster's text that the article or main element must hold.
 HOLDS = 0.8
@@ -274,8 +276,9 @@ def extract_pages(pages: DataFrame, html_column: str = "html", *keep: str) -> Da
     """The `keep` columns of every row and text: the page's main text, '' for a NULL or empty page or one without text.
 
     Blocks are joined by one space, as is all white space inside them; character references are decoded. A page of any
-    length is read whole, one at a time.
+    length is read whole, one at a time. A column text among `keep` is replaced.
     """
+    keep = tuple(c for c in keep if c != "text")
 
     def extract(batches):
         for batch in batches:
@@ -283,5 +286,5 @@ def extract_pages(pages: DataFrame, html_column: str = "html", *keep: str) -> Da
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], [*keep, "text"])
 
     kept = pages.select(*[F.col(f"`{c}`") for c in keep])
-    rows = pages.select(*[F.col(f"`{c}`") for c in keep], F.col(html_column).cast("string").alias("_html"))
+    rows = pages.select(*[F.col(f"`{c}`") for c in keep], F.col(html_column).cast("string").alias(free_name(list(keep), "_html")))
     return rows.mapInArrow(extract, kept.schema.add("text", "string"))

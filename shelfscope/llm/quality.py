@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfscope.llm.blocks import free_name
+
 TRIGRAMS = 1 << 18
 #: Shares of doubled words that have an indicator each. A column is repeated so that it counts as much as many trigrams.
 DOUBLED = tuple(x for x in (0.02, 0.05, 0.1, 0.2, 0.4) for _ in range(20))
@@ -156,7 +158,10 @@ def fit(rows: list[np.ndarray], good: np.ndarray) -> Model:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
-    """Fits on at most `fit_rows` rows of `labels` (doc_id, quality 0 or 1; others are left out) with a document."""
+    """Fits on at most `fit_rows` rows of `labels` (doc_id, quality 0 or 1; others are left out) with a document.
+
+    A document that is repeated, or labelled repeatedly, counts as often. Other columns of both tables are not read, whatever their names.
+    """
     chosen = (
         labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").alias("_label_id"), "quality")
         .orderBy(F.xxhash64("_label_id"), "_label_id", "quality").limit(fit_rows)
@@ -169,9 +174,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
                 ["_label_id", "quality", "columns"],
             )
 
+    texts = docs.select(F.col("doc_id").alias("_doc_id"), F.col("text").cast("string").alias("text"))
     rows = (
-        docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["_label_id"])
-        .select("_label_id", F.col("quality").cast("int").alias("quality"), F.col("text").cast("string").alias("text"))
+        texts.join(F.broadcast(chosen), F.col("_doc_id") == F.col("_label_id"))
+        .select("_label_id", F.col("quality").cast("int").alias("quality"), "text")
         .mapInArrow(features, "_label_id long, quality int, columns binary")
         .orderBy(F.xxhash64("_label_id"), "_label_id", "quality", "columns").limit(fit_rows).collect()
     )
@@ -181,11 +187,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
 def score_quality(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """All columns of `docs`, and score (0 to 1) and predicted (1 from `threshold` on). Only `text` is looked at.
 
-    A NULL or empty text, or one of fewer than three bytes, gets the score of the bias alone.
+    A NULL or empty text, or one of fewer than three bytes, gets the score of the bias alone. Existing columns score and predicted are
+    replaced, all others may have any name.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [c for c in docs.columns if c not in ("score", "predicted")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in names]).withColumn("_text", F.col("text").cast("string"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in names]).withColumn(free_name(names, "_text"), F.col("text").cast("string"))
 
     def score(batches):
         for batch in batches:
