@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfscope.llm import packing
-from shelfscope.llm.lm_scoring import build_filter, read_levels, score_texts
+from shelfscope.llm.lm_scoring import MIXES, build_filter, read_levels, score_texts
 from shelfscope.llm.mixing import mix_margins, mix_sources, probabilities, rake
 from shelfscope.llm.packing import Encoder, pack, pack_documents, packing_plan
 from shelfscope.llm.quality import fit_quality, score_quality
@@ -68,6 +68,45 @@ def test_base_scores_equal_brute_force_and_the_model_beats_them(spark, rows):
     assert sum(r.score for r in held) > sum(r.base_score for r in held) and all(r.score <= 0 for r in got)
 
 
+def test_scores_equal_a_dictionary_of_the_same_levels(spark, rows):
+    """With a filter so wide that nothing is found by chance; counts are known by their binary length only."""
+    texts = [(r[1], re.findall(r"[^\x20\x09-\x0D]+", (r[2] or "").translate(LOWER)) + ["\n"]) for r in rows]
+    words, pairs = Counter(), Counter()
+    for i, ts in texts:
+        if i is None or i % 7 != 2:
+            words.update([" ", *ts])
+            pairs.update(zip([" ", *ts], ts, strict=False))
+    total, distinct = sum(words.values()) - words[" "], len(words) - 1
+
+    def middle(count, less=0):
+        return max((3 * 2 ** (count.bit_length() - 1) - 1) / 2 - less, 0) if count else 0.0
+
+    def parts(a, b, less):
+        pair = min((pairs[a, b], words[a], words[b]), key=int.bit_length)
+        single = min((middle(words[b], less) + 1) / (total + distinct + 1), 1)
+        return min(middle(pair, less) / max(middle(words[a], less), 1), 1), single
+
+    gains = {}
+    for i, ts in texts:
+        if i is None or i % 7 != 2:
+            for a, b in zip([" ", *ts], ts, strict=False):
+                seen, single = parts(a, b, 1)
+                gains[words[a].bit_length()] = gains.get(words[a].bit_length(), 0) + np.log10(MIXES * seen + (1 - MIXES) * single)
+    mixes = {k: MIXES[v.argmax()] for k, v in gains.items()}
+    want = Counter()
+    for i, ts in texts:
+        score = 0.0
+        for a, b in zip([" ", *ts], ts, strict=False):
+            seen, single = parts(a, b, 0)
+            weight = mixes.get(words[a].bit_length(), 0.0)
+            score += math.log10(weight * seen + (1 - weight) * single)
+        want[i, round(score, 5)] += 1
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for range_bytes in (1 << 26, 1 << 20):
+        got = score_texts(docs, F.col("doc_id") % 7 == 2, bits=1 << 26, section_grams=256, range_bytes=range_bytes).collect()
+        assert Counter((r.doc_id, round(r.score, 5)) for r in got) == want
+
+
 def test_filter_levels_are_never_too_low(spark):
     words = [f"w{i}" for i in range(200)]
     text = " ".join(w for i, w in enumerate(words) for _ in range(1 + i % 9))
