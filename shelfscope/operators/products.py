@@ -38,13 +38,15 @@ def _run(site: str, run_id: str, crawl_date: str) -> dict[str, Column]:
 def dom_products(pages: DataFrame, run_id: str, crawl_date: str) -> DataFrame:
     """Product pages of the markup site. Sold-out pages have no price, discount or image."""
     parsed = pages.where(urls.dom_is_product(F.col("url"))).withColumn("s", markup.page_signals(F.col("html"))).drop("html")
-    s, url = F.col("s"), F.col("url")
+    return shared_record(parsed, {**_run(fv.DOM_SITE, run_id, crawl_date), **dom_fields(F.col("s"), F.col("url"))})
+
+
+def dom_fields(s: Column, url: Column) -> dict[str, Column]:
     sold_out = text.is_sold_out(s["label_text"])
     price = text.price_and_currency(markup.meta_content(s, ("property", "twitter:data1")))
     image = F.coalesce(markup.meta_content(s, ("property", "og:image")), F.lit(""))
     on_sale = ~sold_out
-    return shared_record(parsed, {
-        **_run(fv.DOM_SITE, run_id, crawl_date),
+    return {
         "url": urls.before_query(url),
         "country": urls.dom_country(url),
         "portal_itemid": urls.dom_item_id(url),
@@ -60,7 +62,7 @@ def dom_products(pages: DataFrame, run_id: str, crawl_date: str) -> DataFrame:
         "primary_label": F.when(s["label_text"].isNotNull(), F.array(s["label_text"])),
         "image_urls": F.when(on_sale & (image != ""), F.array(image)),
         "text": text.join_details(s["highlights"], s["composition"]),
-    })
+    }
 
 
 # --- fields in an embedded state object -----------------------------------------------------
@@ -68,27 +70,32 @@ def dom_products(pages: DataFrame, run_id: str, crawl_date: str) -> DataFrame:
 
 def state_products(pages: DataFrame, run_id: str, crawl_date: str) -> DataFrame:
     """Product pages of the state site. Pages without a readable, complete state give no record."""
-    tab = "array<struct<tabId:string,html:string>>"
     found = pages.where(urls.state_is_product(F.col("url"))).select("url", "html")
     parsed = compute_once(found, {"state": markup.embedded_state(F.col("html"))}).select("url", "state")
-    tabs = F.try_variant_get("state", "$.pdp.contentTabs", tab)
+    parsed = compute_once(parsed, state_tabs(F.col("state")))
+    complete = parsed.where("design IS NOT NULL AND fit IS NOT NULL").withColumns(
+        {"design": markup.plain_text(F.col("design")), "fit": markup.plain_text(F.col("fit"))}
+    )
+    fields = state_fields(F.col("state"), F.col("url"), F.col("design"), F.col("fit"))
+    return shared_record(complete, {**_run(fv.STATE_SITE, run_id, crawl_date), **fields})
+
+
+def state_tabs(state: Column) -> dict[str, Column]:
+    tabs = F.try_variant_get(state, "$.pdp.contentTabs", "array<struct<tabId:string,html:string>>")
 
     def tab_html(tab_id: str) -> Column:
         return F.get(F.filter(tabs, lambda t: t["tabId"] == tab_id), F.lit(0))["html"]
 
-    parsed = compute_once(parsed, {"design": tab_html("designDetails"), "fit": tab_html("sizeAndFit")})
-    complete = parsed.where("design IS NOT NULL AND fit IS NOT NULL").withColumns(
-        {"design": markup.plain_text(F.col("design")), "fit": markup.plain_text(F.col("fit"))}
-    )
-    st, url = F.col("state"), F.col("url")
+    return {"design": tab_html("designDetails"), "fit": tab_html("sizeAndFit")}
 
+
+def state_fields(st: Column, url: Column, design: Column, fit: Column) -> dict[str, Column]:
     def read(path: str) -> Column:
         return jsons.path_text(st, path)
 
     label = read("$.pdp.badge.value")
     image = none_if_empty(F.split_part(read("$.pdp.images[0].oneX"), F.lit("//"), F.lit(2)))
-    return shared_record(complete, {
-        **_run(fv.STATE_SITE, run_id, crawl_date),
+    return {
         "url": url,
         "language": urls.state_language(url),
         "country": read("$.country"),
@@ -106,8 +113,8 @@ def state_products(pages: DataFrame, run_id: str, crawl_date: str) -> DataFrame:
         "out_of_stock": jsons.sold_out(st),
         "primary_label": F.when(label.isNotNull(), F.array(label)),
         "image_urls": F.when(image.isNotNull(), F.array(image)),
-        "text_parts": F.create_map(F.lit("design_details"), F.col("design"), F.lit("size_fit"), F.col("fit")),
-    })
+        "text_parts": F.create_map(F.lit("design_details"), design, F.lit("size_fit"), fit),
+    }
 
 
 def state_rejects(pages: DataFrame) -> DataFrame:
@@ -312,3 +319,38 @@ EXTRACTORS: dict[str, Callable[[DataFrame, str, str], DataFrame]] = {
 def extract_products(pages: DataFrame, site: str, run_id: str, crawl_date: str) -> DataFrame:
     """Records of one site's pages by the registered extractor."""
     return EXTRACTORS[site](pages, run_id, crawl_date)
+
+
+def mixed_products(pages: DataFrame, run_id: str, crawl_date: str) -> DataFrame:
+    """(site, url, html) pages of all sites -> records, each by the rules of its site, from one scan.
+
+    A page is parsed once and only in the way of its site; the parsers of the others get NULL. Pages of other sites, or that
+    are no product page of their site, give no record.
+    """
+    site, url = F.col("site"), F.col("url")
+    is_dom, is_state, is_api = (site == s for s in (fv.DOM_SITE, fv.STATE_SITE, fv.API_SITE))
+    wanted = pages.where((is_dom & urls.dom_is_product(url)) | (is_state & urls.state_is_product(url)) | is_api)
+    blocks = markup.ld_json_blocks(F.when(is_api, F.col("html")))
+    parsed = wanted.select(
+        "site", "url", markup.page_signals(F.when(~is_state, F.col("html"))).alias("s"), markup.ld_items(blocks).alias("items"),
+        markup.ld_nodes(blocks).alias("nodes"), F.array_join(markup.scripts(F.when(is_api, F.col("html"))), " ").alias("script_text"),
+        F.when(is_state, markup.embedded_state(F.col("html"))).alias("state"),
+    )
+    parsed = compute_once(parsed, {
+        "product": markup.of_type(F.col("items"), "Product"), "trails": markup.of_type(F.col("items"), "BreadcrumbList"),
+        "all_trails": markup.of_type(F.col("nodes"), "BreadcrumbList"), **state_tabs(F.col("state")),
+    }).where(~is_state | F.col("design").isNotNull() & F.col("fit").isNotNull())
+    parsed = parsed.withColumns({"design": markup.plain_text(F.col("design")), "fit": markup.plain_text(F.col("fit"))})
+    api = page_fields(*[F.col(c) for c in ("s", "product", "trails", "all_trails", "script_text", "url")])
+    api["image_urls"] = F.when(F.size(api["image_urls"]) > 0, api["image_urls"])
+    records = {
+        fv.DOM_SITE: dom_fields(F.col("s"), url), fv.API_SITE: api,
+        fv.STATE_SITE: state_fields(F.col("state"), url, F.col("design"), F.col("fit")),
+    }
+    kinds = [part.split() for part in schemas.PRODUCT.split(", ")]
+    record = F.coalesce(*[
+        F.when(site == name, F.struct(*[
+            {**_run(name, run_id, crawl_date), **fields}.get(n, F.lit(None)).cast(kind).alias(n) for n, kind in kinds
+        ])) for name, fields in records.items()
+    ])
+    return compute_once(parsed, {"record": record}).select("record.*")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +34,42 @@ def append_records(records: DataFrame, path: str, by: list[str] = []) -> None:
     records.write.mode("append").option("ignoreNullFields", "false").partitionBy(*by).json(path)
 
 
+def append_batch(records: DataFrame, path: str, batch: str, by: list[str] = []) -> bool:
+    """Appends the records of a batch once, however often it is run; says whether it did.
+
+    An attempt writes to a folder of its own and is entered in the ledger under the batch's name when all of it is written; the entry is
+    written aside and renamed, so it is there whole or not at all. What a lost attempt left is in no ledger and is never read.
+    """
+    spark, attempt = records.sparkSession, uuid.uuid4().hex
+    if _LedgerEntry(spark, path, batch).exists():
+        return False
+    append_records(records, os.path.join(path, "data", f"batch={batch}", f"attempt={attempt}"), by)
+    return _LedgerEntry(spark, path, batch).create(json.dumps({"batch": batch, "attempt": attempt}))
+
+
+class _LedgerEntry:
+    def __init__(self, spark: SparkSession, path: str, batch: str):
+        self.path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "ledger", f"{batch}.json"))
+        self.files = self.path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self) -> bool:
+        return self.files.exists(self.path)
+
+    def create(self, text: str) -> bool:
+        aside = self.path.suffix(f".{uuid.uuid4().hex}.tmp")
+        stream = self.files.create(aside, False)
+        stream.write(bytearray(text.encode("utf-8")))
+        stream.close()
+        return not self.exists() and self.files.rename(aside, self.path)
+
+
+def read_appended(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All batches in the ledger, with `batch`. Folders of other attempts are pruned, as both names are partitions."""
+    ledger = spark.read.schema("batch string, attempt string").option("pathGlobFilter", "*.json").json(os.path.join(path, "ledger"))
+    rows = spark.read.schema(f"{schema}, batch string, attempt string").json(os.path.join(path, "data"))
+    return rows.join(ledger, ["batch", "attempt"], "left_semi").select(*[c for c in rows.columns if c != "attempt"])
+
+
 def write_lines(lines: DataFrame, path: str) -> None:
     """One text column as gzip lines."""
     lines.write.mode("overwrite").option("compression", "gzip").text(path)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -166,3 +167,102 @@ def refresh_partitions(
         arrivals.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
+
+
+def penalty_stream_unordered(
+    steps: DataFrame, output_path: str, state_path: str, checkpoint: str, wait: str = "1 hour", slice_seconds: int = 3600
+) -> StreamingQuery:
+    """Replays penalties (domain, ts, event_id, step) of events that arrive in any order, `wait` late at most.
+
+    A batch's watermark is the latest time seen so far less `wait`. Events up to it are replayed in order of time by the sliced replay, so a
+    busy domain is no single task; later ones are held back in a table for the batches to come. Events older than an earlier
+    batch's watermark come too late to be put in order: they go to `late` below the output. The tables have two slots as in
+    `penalty_stream`, so a repeated batch finds its input unchanged. The last watermark's events stay held until later ones arrive.
+    """
+    spark = steps.sparkSession
+    schema = "domain string, ts timestamp, event_id bigint, step bigint"
+
+    def slot(name: str, n: int) -> str:
+        return os.path.join(state_path, name, f"slot={n % 2}")
+
+    def batch(arrived: DataFrame, batch_id: int) -> None:
+        before, held, reached = None, spark.createDataFrame([], schema), None
+        if batch_id:
+            before = spark.read.schema(schemas.STATE_TABLE).parquet(slot("penalty", batch_id - 1))
+            held = spark.read.schema(schema).parquet(slot("held", batch_id - 1))
+            reached = spark.read.schema("mark timestamp").parquet(slot("mark", batch_id - 1)).first()["mark"]
+        arrived = arrived.select("domain", "ts", "event_id", "step")
+        late = F.lit(False) if reached is None else F.coalesce(F.col("ts") <= F.lit(reached), F.lit(False))
+        newest = arrived.agg(F.max(F.col("ts") - F.expr(f"INTERVAL {wait}")).alias("mark")).first()["mark"]
+        mark = max((m for m in (reached, newest) if m is not None), default=None)
+        spark.createDataFrame([(mark,)], "mark timestamp").write.mode("overwrite").parquet(slot("mark", batch_id))
+        arrived.where(late).write.mode("overwrite").parquet(os.path.join(output_path, "late", f"batch={batch_id}"))
+        open_ = held.unionByName(arrived.where(~late))
+        due = F.lit(False) if mark is None else F.col("ts") <= F.lit(mark)
+        replayed = backoff.replay(open_.where(due), slice_seconds=slice_seconds, start=before)
+        out = os.path.join(output_path, "rows", f"batch={batch_id}")
+        replayed.write.mode("overwrite").parquet(out)
+        open_.where(~due).write.mode("overwrite").parquet(slot("held", batch_id))
+        last = backoff.final_penalties(spark.read.schema(replayed.schema).parquet(out))
+        if before is not None:
+            last = last.unionByName(before.join(last.select("domain"), "domain", "left_anti"))
+        last.where("penalty > 0").write.mode("overwrite").parquet(slot("penalty", batch_id))
+
+    return steps.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def append_stream(rows: DataFrame, path: str, checkpoint: str, by: list[str] = []) -> StreamingQuery:
+    """Appends every micro-batch once: one that is run again after a failure finds itself in the ledger."""
+
+    def batch(arrived: DataFrame, batch_id: int) -> None:
+        sinks.append_batch(arrived, path, f"{batch_id:012}", by)
+
+    return rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+#: How partial aggregates of one kind become one.
+MERGES: dict[str, Callable[[str], Column]] = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+#: Batches after which their partial aggregates are written together.
+FOLDED = 16
+
+
+def refresh_by_difference(arrivals: DataFrame, path: str, by: list[str], measures: dict[str, tuple[str, Column]], checkpoint: str) -> StreamingQuery:
+    """Aggregates kept up to date from what arrives alone: a batch adds its partial aggregates and reads no earlier rows.
+
+    `measures` gives each column its kind (count, sum, min or max) and its value per row. The parts of a batch overwrite their own folder, so a
+    repeated batch changes nothing; every FOLDED batches their parts become one. `refreshed` merges what is there.
+    """
+    spark = arrivals.sparkSession
+    names = {n: kind for n, (kind, _) in measures.items()}
+
+    def batch(arrived: DataFrame, batch_id: int) -> None:
+        values = arrived.select(*by, *[value.alias(n) for n, (_, value) in measures.items()])
+        first = {n: F.count(n) if kind == "count" else MERGES[kind](n) for n, kind in names.items()}
+        part = values.groupBy(*by).agg(*[c.alias(n) for n, c in first.items()])
+        part.write.mode("overwrite").parquet(os.path.join(path, "parts", f"batch={batch_id}"))
+        if batch_id % FOLDED == FOLDED - 1:
+            lots = [os.path.join(path, "parts", f"batch={n}") for n in range(batch_id - FOLDED + 1, batch_id + 1)]
+            folded = _merged(spark.read.schema(part.schema).parquet(*lots), by, names)
+            folded.write.mode("overwrite").parquet(os.path.join(path, "folded", f"lot={batch_id // FOLDED}"))
+
+    return arrivals.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _merged(parts: DataFrame, by: list[str], names: dict[str, str]) -> DataFrame:
+    return parts.groupBy(*by).agg(*[MERGES[kind](n).alias(n) for n, kind in names.items()])
+
+
+def refreshed(spark: SparkSession, path: str, by: list[str], measures: dict[str, tuple[str, Column]]) -> DataFrame:
+    """The aggregates over everything that has arrived: folded lots, and the parts of batches in none."""
+    read = spark.read.parquet(os.path.join(path, "parts"))
+    try:
+        folded = spark.read.parquet(os.path.join(path, "folded"))
+    except AnalysisException:
+        folded = None
+    parts = read.drop("batch")
+    if folded is not None:
+        # a lot is written after its parts, so parts of a lot that is not there still count
+        lots = folded.select("lot").distinct()
+        rest = read.withColumn("lot", F.floor(F.col("batch") / FOLDED)).join(lots, "lot", "left_anti")
+        parts = rest.drop("batch", "lot").unionByName(folded.drop("lot"))
+    return _merged(parts, by, {n: kind for n, (kind, _) in measures.items()})
