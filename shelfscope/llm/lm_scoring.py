@@ -30,7 +30,7 @@ RANGE_BYTES = 1 << 26
 #: Tokens that are looked up together where the filter has several ranges.
 PROBED = 1 << 19
 #: N-grams that a task gathers before it passes their counts on, and n-grams per section of the filter.
-HELD = 1 << 21
+HELD = 1 << 20
 SECTION_GRAMS = 1 << 19
 #: Keys that are probed at once; the work arrays take some 80 bytes for each.
 SLICE = 1 << 17
