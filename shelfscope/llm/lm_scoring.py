@@ -26,9 +26,9 @@ from shelfscope.session import materialize
 #: Bits of the filter for an entry; two places each leave a chance hit at (1 - exp(-2 / 10))^2, 1 in 30.
 ENTRY_BITS = 10
 #: Most bytes of the filter that are broadcast as one piece and that a task holds at a time.
-RANGE_BYTES = 1 << 26
+RANGE_BYTES = 1 << 25
 #: Tokens that are looked up together where the filter has several ranges.
-PROBED = 1 << 19
+PROBED = 1 << 18
 #: N-grams that a task gathers before it passes their counts on, and n-grams per section of the filter.
 HELD = 1 << 20
 SECTION_GRAMS = 1 << 19
