@@ -2,11 +2,14 @@
 
 Method: prefix filters under several global token orders. If two sets reach the similarity, then under *every*
 order of all tokens they share a token among the first n - ceil(share * n) + 1 of each. Candidates have to pass this
-for order 0 on all documents, then for order 1 on the documents that are left, then for order 2 on the pair itself;
-what passes all of them is verified by counting the whole sets.
+for order 0, by which they are found, then for orders 1 and 2, whose prefixes are joined to the pairs; what passes all of
+them is verified by counting the whole sets.
 
 * All orders put tokens that many documents hold last, so prefixes consist of rare tokens wherever a document has them.
   How common a token is comes from a merged sketch of fixed size over all documents; any sketch gives a right order.
+* A row of order 0 carries the parities of its set's tokens in SIGNATURE classes. Two sets differ in at least as many
+  tokens as their parities do, so most pairs that are alike but not alike enough are never listed. In sets far larger than
+  the signature it stops nothing and the other filters are left.
 * Equal sets are one node. Sets that share a min-hash are tried first against one pivot each; what is linked by
   that is one component, and pairs inside a component need not be listed or verified again. So a group of thousands
   of near copies costs a pair per copy, not one per pair of copies; links between different components are all tried.
@@ -32,6 +35,8 @@ SHARE = (80, 100)
 #: Counters of the frequency sketch, merged over all tasks (bytes on each executor).
 SKETCH = 1 << 22
 MIN_HASHES = 4
+#: Parities in the signature of a set; a multiple of 64.
+SIGNATURE = 512
 #: Groups of a token up to this size are paired by arrays of equal size, larger ones component by component.
 SMALL = 32
 #: Pairs that are looked at together.
@@ -145,32 +150,34 @@ def _common(rows: DataFrame, sketch: int) -> np.ndarray:
     return np.where(totals > usual, np.log2(np.maximum(totals, 1) / usual) + 1, 0).astype(np.uint8)
 
 
+def signature(tokens: np.ndarray) -> np.ndarray:
+    """Whether the number of tokens in each of SIGNATURE classes is odd, as bits of 64-bit words."""
+    classes = mix(tokens ^ odd_numbers(47, 1)[0]) % np.uint64(SIGNATURE)
+    odd = np.bincount(classes.astype(np.int64), minlength=SIGNATURE) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 PREFIX_SCHEMA = "token long, sid long, place long"
 
 
-def _prefix_rows(docs: DataFrame, k: int, ranks, width: int, share: tuple[int, int], wanted=None) -> DataFrame:
-    """(token, sid, place): the prefix of every set under order k; place is size * 2**32 + position.
+def _prefix_rows(docs: DataFrame, ranks, width: int, share: tuple[int, int]) -> DataFrame:
+    """(token, sid, place): the prefix of every set under order 0; place is size * 2**32 + position.
 
-    Equal sets of one task are listed once. `wanted`: a filter of document ids.
+    Equal sets of one task are listed once.
     """
 
     def list_prefixes(batches):
-        hasher, seen = WordHasher(lower=True), set()
-        common, pass_on = ranks.value, wanted.value if wanted else None
+        hasher, seen, common = WordHasher(lower=True), set(), ranks.value
         for batch in batches:
-            texts = batch.column("text")
-            if pass_on is not None:
-                ids = batch.column("doc_id").fill_null(-1).to_numpy()
-                texts = texts.filter(pa.array(may_hold(pass_on, ids)))
             tokens, sids, places, held = [], [], [], 0
-            for found in shingle_sets(texts, hasher, width):
+            for found in shingle_sets(batch.column("text"), hasher, width):
                 if not len(found):
                     continue
                 digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
                 if digest in seen:
                     continue
                 seen.add(digest)
-                first = _prefix(found, k, common, share)
+                first = _prefix(found, 0, common, share)
                 tokens.append(first)
                 sids.append(np.full(len(first), int.from_bytes(digest[:8], "little", signed=True), np.int64))
                 places.append((np.int64(len(found)) << np.int64(32)) + np.arange(len(first), dtype=np.int64))
@@ -190,6 +197,42 @@ def _prefix_rows(docs: DataFrame, k: int, ranks, width: int, share: tuple[int, i
     return docs.mapInArrow(list_prefixes, PREFIX_SCHEMA)
 
 
+MARKS_SCHEMA = "sid long, signature array<long>, first array<long>, second array<long>"
+
+
+def _marks(docs: DataFrame, ids: DataFrame, ranks, width: int, share: tuple[int, int]) -> DataFrame:
+    """Signature and prefixes under orders 1 and 2 of the sets of (at least) the documents `ids`."""
+    wanted = _broadcast(docs, id_filter(ids, "doc_id"))
+
+    def mark(batches):
+        hasher, common = WordHasher(lower=True), ranks.value
+        for batch in batches:
+            texts = batch.column("text").filter(pa.array(may_hold(wanted.value, batch.column("doc_id").fill_null(-1).to_numpy())))
+            sids, signatures, prefixes, held = [], [], ([], []), 0
+            for found in shingle_sets(texts, hasher, width):
+                if not len(found):
+                    continue
+                sids.append(int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=16).digest()[:8], "little", signed=True))
+                signatures.append(signature(found))
+                for k in (0, 1):
+                    prefixes[k].append(_prefix(found, k + 1, common, share).view(np.int64))
+                held += len(prefixes[0][-1])
+                if held > 1 << 18:
+                    yield _rows(sids, signatures, *prefixes)
+                    sids, signatures, prefixes, held = [], [], ([], []), 0
+            if sids:
+                yield _rows(sids, signatures, *prefixes)
+
+    def _rows(sids, *arrays):
+        lists = [
+            pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(x) for x in a])]).astype(np.int32), pa.array(np.concatenate(a)))
+            for a in arrays
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), *lists], ["sid", "signature", "first", "second"])
+
+    return materialize(docs.mapInArrow(mark, MARKS_SCHEMA).dropDuplicates(["sid", "signature"]), "marks")
+
+
 def _may_link(place_a: np.ndarray, place_b: np.ndarray, share: tuple[int, int]) -> np.ndarray:
     """Size and position filter. It holds at the first token that both share, and one hit is enough."""
     n, i = place_a >> 32, place_a & 0xFFFFFFFF
@@ -197,8 +240,8 @@ def _may_link(place_a: np.ndarray, place_b: np.ndarray, share: tuple[int, int])
     return np.minimum(n - i, m - j) >= least_overlap(n, m, share)
 
 
-def _candidates(prefixes: DataFrame, nodes: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(a, b): pairs of nodes of different components with a common prefix token, a < b, each pair once.
+def _candidates(docs: DataFrame, nodes: DataFrame, ranks, width: int, share: tuple[int, int]) -> DataFrame:
+    """(a, b): pairs of nodes of different components that pass the prefix filters of all orders, a < b, each pair once.
 
     Rows are told their component before any pair is made: tokens of one document and tokens of one component drop out, so
     what a group of near copies shares stays as many rows as it has.
@@ -218,20 +261,28 @@ def _candidates(prefixes: DataFrame, nodes: DataFrame, share: tuple[int, int]) -
     def list_across(batches):
         for table in whole_keys(batches, "token"):
             token, node, place, part = (table.column(c).to_numpy() for c in ("token", "node", "place", "component"))
+            odd = table.column("signature").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(token), -1)
+            size = place >> 32
 
             def pairs(i, j):
                 good = (part[i] != part[j]) & _may_link(place[i], place[j], share)
+                i, j = i[good], j[good]
+                both = size[i] + size[j]
+                differ = np.zeros(len(i), np.int64)
+                for word in range(odd.shape[1]):
+                    differ += np.bitwise_count(odd[i, word] ^ odd[j, word])
+                good = differ <= both - 2 * least_overlap(size[i], size[j], share)
                 i, j = node[i[good]], node[j[good]]
                 return np.stack([np.minimum(i, j), np.maximum(i, j)], 1)
 
             first, end = _spans(token)
             count = end - first
             found = [np.empty((0, 2), np.int64)]
-            for size in np.unique(count[count <= SMALL]):
-                starts = first[count == size]
-                i, j = np.triu_indices(size, 1)
-                for at in range(0, len(starts), PAIRS // size**2 + 1):
-                    rows = starts[at : at + PAIRS // size**2 + 1, None] + np.arange(size)
+            for group in np.unique(count[count <= SMALL]):
+                starts = first[count == group]
+                i, j = np.triu_indices(group, 1)
+                for at in range(0, len(starts), PAIRS // group**2 + 1):
+                    rows = starts[at : at + PAIRS // group**2 + 1, None] + np.arange(group)
                     found.append(pairs(rows[:, i].ravel(), rows[:, j].ravel()))
             found = np.unique(np.concatenate(found), axis=0)
             if len(found):
@@ -251,13 +302,22 @@ def _candidates(prefixes: DataFrame, nodes: DataFrame, share: tuple[int, int]) -
         return pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["a", "b"])
 
     shared = materialize(
-        prefixes.repartition("token").sortWithinPartitions("token", "sid").mapInArrow(shared_tokens, PREFIX_SCHEMA)
-        .join(nodes, "sid").select("token", "node", "place", "component"), "shared-tokens",
+        _prefix_rows(docs, ranks, width, share).repartition("token").sortWithinPartitions("token", "sid").mapInArrow(shared_tokens, PREFIX_SCHEMA)
+        .join(nodes, "sid").select("token", "sid", "node", "place", "component"), "shared-tokens",
     )
     mixed = shared.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
+    across = materialize(shared.join(mixed, "token"), "across")
+    marks = _marks(docs, across.select(F.col("node").alias("doc_id")).distinct(), ranks, width, share)
+    pairs = materialize(
+        across.join(marks.select("sid", "signature"), "sid").select("token", "node", "place", "component", "signature")
+        .repartition("token").sortWithinPartitions("token").mapInArrow(list_across, "a long, b long").distinct(), "pairs-0",
+    )
+    orders = marks.join(nodes, "sid")
     return (
-        shared.join(mixed, "token").repartition("token").sortWithinPartitions("token")
-        .mapInArrow(list_across, "a long, b long").distinct()
+        pairs.join(orders.select(F.col("node").alias("a"), F.col("first").alias("first_a"), F.col("second").alias("second_a")), "a")
+        .join(orders.select(F.col("node").alias("b"), F.col("first").alias("first_b"), F.col("second").alias("second_b")), "b")
+        .where(F.arrays_overlap("first_a", "first_b") & F.arrays_overlap("second_a", "second_b"))
+        .select("a", "b").distinct()
     )
 
 
@@ -270,11 +330,10 @@ def _broadcast(frame: DataFrame, value):
     return frame.sparkSession.sparkContext.broadcast(value)
 
 
-def _linked(docs: DataFrame, pairs: DataFrame, width: int, share: tuple[int, int], ranks=None) -> DataFrame:
+def _linked(docs: DataFrame, pairs: DataFrame, width: int, share: tuple[int, int]) -> DataFrame:
     """Of pairs (a, b) of document ids, those that reach the similarity.
 
-    Each document's text goes once to every group of up to PARTNERS pairs that it is in. With `ranks`, a pair must
-    share a prefix token under a third order before it is counted.
+    Each document's text goes once to every group of up to PARTNERS pairs that it is in.
     """
     pairs = materialize(pairs, "pairs")
     groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("parts"))
@@ -293,23 +352,19 @@ def _linked(docs: DataFrame, pairs: DataFrame, width: int, share: tuple[int, int
 
     def count(batches):
         hasher = WordHasher(lower=True)
-        common = ranks.value if ranks else None
         for table in whole_keys(batches, "lot_id"):
             a, side, ids = (table.column(c).to_pylist() for c in ("a", "side", "doc_id"))
             pivots: dict[int, list] = {}
             ones, others = [], []
             for sets, owner, right, doc_id in zip(shingle_sets(table.column("text"), hasher, width), a, side, ids, strict=True):
-                third = _prefix(sets, 2, common, share) if ranks and len(sets) else None
                 if not right:
-                    pivots.setdefault(owner, []).append((sets, third))
+                    pivots.setdefault(owner, []).append(sets)
                     continue
-                for other, first in pivots.get(owner, ()):
+                for other in pivots.get(owner, ()):
                     n, m = len(sets), len(other)
                     least = least_overlap(n, m, share)
                     if not n or not m or min(n, m) < least:
                         continue
-                    if third is not None and not len(np.intersect1d(third, first, assume_unique=True)):
-                        continue
                     at = np.searchsorted(other, sets)
                     at[at == m] = 0
                     if (other[at] == sets).sum() >= least:
@@ -367,13 +422,7 @@ def jaccard_groups(
         sets.join(merged, sets["node"] == merged["id"], "left")
         .select("sid", "node", F.coalesce("component", "node").alias("component")), "nodes",
     )
-    pairs = materialize(_candidates(_prefix_rows(docs, 0, ranks, width, share), nodes, share), "pairs-0")
-    left = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    wanted = spark.sparkContext.broadcast(id_filter(left, "doc_id"))
-    second = _candidates(_prefix_rows(docs, 1, ranks, width, share, wanted), nodes, share)
-    links = materialize(
-        _linked(docs, pairs.join(second, ["a", "b"]), width, share, ranks), "links"
-    )
+    links = materialize(_linked(docs, _candidates(docs, nodes, ranks, width, share), width, share), "links")
     found = components(first_links.union(links).union(copies), "a", "b")
     out = signed.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("sid").alias("set_id"))
     return (

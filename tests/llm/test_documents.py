@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from shelfscope.llm import ngram_join
@@ -79,6 +80,35 @@ def test_jaccard_groups_equal_brute_force(spark, rows, small, monkeypatch):
     assert got == Counter((a, len(x), component.get(a)) for a, x in sets)
 
 
+def test_signatures_never_differ_more_than_their_sets():
+    random = np.random.default_rng(3)
+    for size in (1, 5, 60, 700, 5000):
+        tokens = np.unique(random.integers(0, 2**64, size, dtype=np.uint64))
+        for share in (0.0, 0.1, 0.5, 1.0):
+            other = np.unique(np.concatenate([tokens[random.random(len(tokens)) < share], random.integers(0, 2**64, 3, dtype=np.uint64)]))
+            bits = [ngram_join.signature(x).view(np.uint64) for x in (tokens, other)]
+            assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= len(np.setxor1d(tokens, other))
+
+
+def test_families_of_many_components_equal_brute_force(spark):
+    """Chains of small edits: most members are alike, few of them alike enough, and pivots tie only some of these."""
+    random = np.random.default_rng(9)
+    rows = []
+    for family in range(6):
+        base = [f"w{family}_{i}" for i in range(70)]
+        for _ in range(25):
+            words = list(base)
+            for at in random.integers(0, len(words), random.integers(0, 5)):
+                words[at] = f"x{random.integers(0, 10**9)}"
+            rows.append((len(rows), " ".join(words)))
+    sets = [(i, shingles(text)) for i, text in rows]
+    links = [(a, b) for a, x in sets for b, y in sets if a < b and 100 * len(x & y) >= 80 * len(x | y)]
+    component = components_of({a for a, _ in sets}, links)
+    got = {(r.doc_id, r.component_id) for r in jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string"), sketch=1 << 12).collect()}
+    assert got == set(component.items())
+    assert 1 < len({c for i, c in component.items() if i < 25}) < 25
+
+
 def test_one_document_of_each_group_stays(spark, rows):
     docs = spark.createDataFrame(rows, SCHEMA)
     got = one_of_each_group(docs)
