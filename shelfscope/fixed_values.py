@@ -71,6 +71,7 @@ SOLD_OUT_WORDS = SOLD_OUT_BADGES + ["outofstock"]
 STOCK_PATHS = ["isOutOfStock", "outOfStock", "isSoldOut", "stockStatus", "stock_status", "availability"]
 GENDER_CRUMBS = ["Women", "Men", "Kids"]
 GENDER_SEGMENTS = ["men", "women", "kids"]
+BADGE_RIBBON_CLASSES = ["absolute", "z-10", "mt-4", "gap-1"]
 DETAILS_HEADINGS = ["Product Details", "تفاصيل المنتج"]
 TRUE_WORDS = ["1", "true", "yes", "y", "on"]
 TRUE_WORDS_SETTINGS = ["1", "true", "yes", "on"]

@@ -125,7 +125,7 @@ def _signals(html: str) -> dict:
         elif node.tag == "img" and node.get("src") is not None:
             images.append(node.get("src"))
     ribbons = [
-        d for d in _classed(root, "div", "absolute", "z-10", "mt-4", "gap-1") if _classed(d, "span", "badge")
+        d for d in _classed(root, "div", *fv.BADGE_RIBBON_CLASSES) if _classed(d, "span", "badge")
     ]
     panel = next(
         (

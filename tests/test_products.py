@@ -39,7 +39,7 @@ PAGE_CASES = [
     (ld('{"@type":"Product","offers":{"price":"47.5","priceCurrency":"KWD "}}'), "currency", "KWD"),
     ('<meta property="product:price:currency" content="SAR">', "currency", "SAR"),
     ('<script>{"discountPercentage":"25% OFF"}</script>', "price_discount", "25% OFF"),
-    ('<div class="gap-1 mt-4 z-10 absolute"><span class="badge">VEGAN</span><i></i><span class="badge-large">HANDMADE</span><span class="badge">VEGAN</span></div>',
+    (f'<div class="{" ".join(fv.BADGE_RIBBON_CLASSES)}"><span class="badge">VEGAN</span><i></i><span class="badge-large">HANDMADE</span><span class="badge">VEGAN</span></div>',
      "primary_label", ["VEGAN", "HANDMADE"]),
     ("<em>no label</em>", "primary_label", None),
     ('<meta property="og:image" content="https://pics.example/front.webp">', "image_urls", ["https://pics.example/front.webp"]),
