@@ -10,6 +10,8 @@ them is verified by counting the whole sets.
 * A row of order 0 carries the parities of its set's tokens in SIGNATURE classes. Two sets differ in at least as many
   tokens as their parities do, so most pairs that are alike but not alike enough are never listed. In sets far larger than
   the signature it stops nothing and the other filters are left.
+* A row of order 0 also carries the BEFORE tokens that stand before its own in its set. A pair that shares one of them is
+  listed there or earlier, so it is not listed again; its first common token always lists it.
 * Equal sets are one node. Sets that share a min-hash are tried first against one pivot each; what is linked by
   that is one component, and pairs inside a component need not be listed or verified again. So a group of thousands
   of near copies costs a pair per copy, not one per pair of copies; links between different components are all tried.
@@ -22,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfscope.llm.blocks import BLOCK_SCHEMA, block_rows, id_filter, may_hold, merged_blocks, whole_keys
@@ -37,6 +39,8 @@ SKETCH = 1 << 22
 MIN_HASHES = 4
 #: Parities in the signature of a set; a multiple of 64.
 SIGNATURE = 512
+#: Tokens of a prefix that a row knows to stand before its own, by which repeated listings of a pair are told.
+BEFORE = 8
 #: Groups of a token up to this size are paired by arrays of equal size, larger ones component by component.
 SMALL = 32
 #: Pairs that are looked at together.
@@ -262,8 +266,19 @@ def _candidates(docs: DataFrame, nodes: DataFrame, ranks, width: int, share: tup
         for table in whole_keys(batches, "token"):
             token, node, place, part = (table.column(c).to_numpy() for c in ("token", "node", "place", "component"))
             odd = table.column("signature").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(token), -1)
+            before = table.column("before").combine_chunks()
+            counts = np.diff(before.offsets.to_numpy())
+            known = np.zeros((len(token), BEFORE), np.int64)  # 0: no token
+            known[np.arange(BEFORE) < counts[:, None]] = before.flatten().to_numpy()
             size = place >> 32
 
+            def listed_before(i, j):
+                again = np.zeros(len(i), bool)
+                for k in range(BEFORE):
+                    mine = known[i, k]
+                    again |= (mine != 0) & (known[j] == mine[:, None]).any(1)
+                return again
+
             def pairs(i, j):
                 good = (part[i] != part[j]) & _may_link(place[i], place[j], share)
                 i, j = i[good], j[good]
@@ -272,7 +287,9 @@ def _candidates(docs: DataFrame, nodes: DataFrame, ranks, width: int, share: tup
                 for word in range(odd.shape[1]):
                     differ += np.bitwise_count(odd[i, word] ^ odd[j, word])
                 good = differ <= both - 2 * least_overlap(size[i], size[j], share)
-                i, j = node[i[good]], node[j[good]]
+                i, j = i[good], j[good]
+                new = ~listed_before(i, j)
+                i, j = node[i[new]], node[j[new]]
                 return np.stack([np.minimum(i, j), np.maximum(i, j)], 1)
 
             first, end = _spans(token)
@@ -308,8 +325,10 @@ def _candidates(docs: DataFrame, nodes: DataFrame, ranks, width: int, share: tup
     mixed = shared.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
     across = materialize(shared.join(mixed, "token"), "across")
     marks = _marks(docs, across.select(F.col("node").alias("doc_id")).distinct(), ranks, width, share)
+    earlier = Window.partitionBy("sid").orderBy("place").rowsBetween(-BEFORE, -1)
     pairs = materialize(
-        across.join(marks.select("sid", "signature"), "sid").select("token", "node", "place", "component", "signature")
+        across.withColumn("before", F.collect_list("token").over(earlier))
+        .join(marks.select("sid", "signature"), "sid").select("token", "node", "place", "component", "signature", "before")
         .repartition("token").sortWithinPartitions("token").mapInArrow(list_across, "a long, b long").distinct(), "pairs-0",
     )
     orders = marks.join(nodes, "sid")
