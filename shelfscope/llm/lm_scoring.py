@@ -27,6 +27,8 @@ from shelfscope.session import materialize
 ENTRY_BITS = 10
 #: Most bytes of the filter that are broadcast as one piece and that a task holds at a time.
 RANGE_BYTES = 1 << 25
+#: Bytes of text that are hashed, and looked up where the filter is one range, at once; the work arrays take some 60 for each.
+TEXT_BYTES = 1 << 18
 #: Tokens that are looked up together where the filter has several ranges.
 PROBED = 1 << 18
 #: N-grams that a task gathers before it passes their counts on, and n-grams per section of the filter.
@@ -65,7 +67,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(h, c): the count of every token of the texts, by hash."""
 
     def count(batches):
-        hasher = WordHasher(lower=True)
+        hasher = WordHasher(lower=True, block=TEXT_BYTES)
         held, size = [], 0
         for batch in batches:
             for _, tokens, _, _ in token_blocks(batch.column("text"), hasher):
@@ -106,7 +108,7 @@ def filter_sections(docs: DataFrame, sections: int, bits: int | None = None) ->
     """(section, bits): the filter over the texts' words and pairs; as wide as its entries need, or of `bits` bits in all."""
 
     def gather(batches):
-        hasher = WordHasher(lower=True)
+        hasher = WordHasher(lower=True, block=TEXT_BYTES)
         held, size = [], 0
         for batch in batches:
             for _, tokens, left, bounds in token_blocks(batch.column("text"), hasher):
@@ -289,7 +291,7 @@ def _fit_mixes(docs: DataFrame, shared: list, sections: int, total: int, distinc
     """For each level of the left word, the mixing weight that explains the texts best, each pair taken out of its own count."""
 
     def explain(batches):
-        hasher = WordHasher(lower=True)
+        hasher = WordHasher(lower=True, block=TEXT_BYTES)
         gain, ranges = np.zeros((LEVELS, len(MIXES))), HeldRanges(shared)
         for _, tokens, left, _ in _lots(batches, hasher, shared):
             word, before, pair = _levels_of(ranges, sections, tokens, left)
@@ -347,7 +349,7 @@ def score_texts(
     frequent = spark.sparkContext.broadcast((hashes, logs))
 
     def score(batches):
-        hasher = WordHasher(lower=True)
+        hasher = WordHasher(lower=True, block=TEXT_BYTES)
         (words, word_logs), ranges = frequent.value, HeldRanges(shared)
         for rows, tokens, left, bounds in _lots(batches, hasher, shared):
             word, before, pair = _levels_of(ranges, sections, tokens, left)

@@ -49,8 +49,9 @@ def byte_values(lower: bool) -> np.ndarray:
 class WordHasher:
     """Made once per task; `hashes` needs a block of bytes and the places in it where documents start."""
 
-    def __init__(self, lower: bool):
-        self.values, self.power, self.back = byte_values(lower), powers(BLOCK), powers(BLOCK, inverse=True)
+    def __init__(self, lower: bool, block: int | None = None):
+        self.block = block or BLOCK
+        self.values, self.power, self.back = byte_values(lower), powers(self.block), powers(self.block, inverse=True)
 
     def hashes(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The hashes of all words, and the byte where each begins."""
@@ -71,10 +72,10 @@ class WordHasher:
         """The hashes of one text of any length, cut before white space."""
         parts, at = [], 0
         while at < len(data):
-            end = min(at + BLOCK, len(data))
+            end = min(at + self.block, len(data))
             while end < len(data):
-                gap = np.flatnonzero(self.values[data[end : end + BLOCK]] == 0)
-                end = min(end + int(gap[0]), len(data)) if len(gap) else min(end + BLOCK, len(data))
+                gap = np.flatnonzero(self.values[data[end : end + self.block]] == 0)
+                end = min(end + int(gap[0]), len(data)) if len(gap) else min(end + self.block, len(data))
                 if len(gap):
                     break
             parts.append(self.hashes(data[at:end], np.zeros(1, np.int64))[0])
@@ -96,9 +97,9 @@ def word_blocks(texts: pa.Array | pa.ChunkedArray, hasher: WordHasher) -> Iterat
     data = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
     first = 0
     while first < n:
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + BLOCK, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + hasher.block, "right")) - 1)
         low, high = offsets[first], offsets[last]
-        if high - low > BLOCK:
+        if high - low > hasher.block:
             hashes = hasher.long_text(data[low:high])
             bounds = np.array([0, len(hashes)])
         else:
