@@ -54,7 +54,7 @@ class PieceHasher(WordHasher):
         self.ends = np.zeros(256, bool)
         self.ends[list(PIECE_ENDS)] = True
 
-    def block(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def pieces(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hashes, first byte, piece) of all words; documents that begin at `starts` share no piece."""
         hashes, first = self.hashes(data, starts)
         ends = self.ends[data].astype(np.int64)
@@ -73,7 +73,7 @@ def piece_blocks(texts: pa.Array, hasher: PieceHasher) -> Iterator[tuple[np.ndar
         last = max(row + 1, int(np.searchsorted(offsets, offsets[row] + BLOCK, "right")) - 1)
         part, starts = data[offsets[row] : offsets[last]], offsets[row:last] - offsets[row]
         if len(part) <= BLOCK:
-            yield (part, starts, *hasher.block(part, starts))
+            yield (part, starts, *hasher.pieces(part, starts))
         else:
             found, at, piece = [], 0, 0
             while at < len(part):
@@ -84,7 +84,7 @@ def piece_blocks(texts: pa.Array, hasher: PieceHasher) -> Iterator[tuple[np.ndar
                     if len(gap):
                         break
                 section = part[at:end]
-                hashes, first, pieces = hasher.block(section, np.empty(0, np.int64))
+                hashes, first, pieces = hasher.pieces(section, np.empty(0, np.int64))
                 found.append((hashes, first + at, pieces + piece))
                 piece += int(hasher.ends[section].sum())
                 at = end

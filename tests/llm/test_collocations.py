@@ -102,3 +102,10 @@ def test_counts_are_the_same_when_tasks_send_early(spark, rows, monkeypatch):
 def test_empty_tables(spark):
     assert mine_phrases(spark.createDataFrame([], SCHEMA)).collect() == []
     assert mine_phrases(spark.createDataFrame([("w", 1, None, None, "a", 1)], SCHEMA)).collect() == []
+
+
+def test_a_hasher_gives_words_with_their_pieces():
+    data = np.frombuffer(b"ab CD,ef\n\ngh" + b"ab cd", np.uint8)
+    hashes, first, piece = PieceHasher().pieces(data, np.array([0, 12]))
+    assert first.tolist() == [0, 3, 6, 10, 12, 15] and (hashes[:2] == hashes[4:]).all()
+    assert len(set(hashes[:4].tolist())) == 4 and piece.tolist()[:2] == [piece[0]] * 2 and len(set(piece.tolist())) == 4
