@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfscope import fixed_values as fv
-from shelfscope.checks.registry import query, table
+from shelfscope.checks.registry import query, spread, table
 from shelfscope.functions import arrays
 from shelfscope.operators import listings, products
 
@@ -14,6 +14,11 @@ PART = ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
 DAY, RUN = "2024-02-01", "2024-02-01T00-00-00-000"
 
 
+def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that pages are made of: a few MB of them become pages that take the parsers minutes."""
+    return spread(table(spark, sf_dir, "part").select(*PART), "p_partkey")
+
+
 def text_of(*parts) -> Column:
     """Concatenation; plain strings are markup, columns are values."""
     return F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
@@ -49,7 +54,7 @@ def dom_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "<div><h4> Highlights </h4><ul><li> soft <li>light</ul><h4>Composition</h4><p>", F.col("p_type"), " </p></div></body></html>",
     )
     url = text_of("https://www.farfetch.com/ae/shopping/women/bag-item-", F.col("p_partkey"), ".aspx?storeid=9")
-    return table(spark, sf_dir, "part").select(*PART).select(url.alias("url"), html.alias("html"))
+    return parts(spark, sf_dir).select(url.alias("url"), html.alias("html"))
 
 
 @query(DOM_SQL)
@@ -89,7 +94,7 @@ def state_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
     html = text_of("<html><script>var a = 1;</script><script>\nwindow.initialState = ", state, ";\nwindow.b = {};</script></html>")
     url = text_of("https://ar.ounass.ae/", F.col("p_partkey"), ".html")
-    return table(spark, sf_dir, "part").select(*PART).select(url.alias("url"), html.alias("html"))
+    return parts(spark, sf_dir).select(url.alias("url"), html.alias("html"))
 
 
 @query(STATE_SQL)
@@ -164,7 +169,7 @@ def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     common = '<meta property="og:title" content="One two three four for Women - x"><nav><ul><li><a>Home</a></li><li><a> Kids </a></li></ul></nav>'
     html = text_of("<html>", F.when(kind == 0, with_json).when(kind == 1, with_meta).when(kind == 2, with_script).otherwise(with_url), common, "</html>")
     url = text_of("https://www.levelshoes.com/ab", key, "-red.html")
-    return table(spark, sf_dir, "part").select(*PART).select(url.alias("url"), html.alias("html"))
+    return parts(spark, sf_dir).select(url.alias("url"), html.alias("html"))
 
 
 def shown(records: DataFrame) -> DataFrame:
@@ -193,7 +198,7 @@ def api_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     empty = F.lit('{"products": []}')
     payload = F.when(F.col("p_size") == 50, empty).otherwise(F.to_json(F.struct(F.array(item).alias("products"))))
-    return table(spark, sf_dir, "part").select(*PART).select(F.col("p_brand").alias("url"), F.col("p_partkey").alias("page"), payload.alias("payload"))
+    return parts(spark, sf_dir).select(F.col("p_brand").alias("url"), F.col("p_partkey").alias("page"), payload.alias("payload"))
 
 
 ITEMS_SQL = """

@@ -24,3 +24,8 @@ def query(sql: str | None = None) -> Callable:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Short rows that grow long or dear further on, dealt over all cores; a small file may be one split, whatever its rows become."""
+    return rows.repartition(3 * rows.sparkSession.sparkContext.defaultParallelism, key)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfscope import fixed_values as fv
 from shelfscope import schemas
 from shelfscope.functions import arrays, markup, text, urls
+from shelfscope.functions.rows import compute_once
 from shelfscope.operators.keyed import first_wins, join_spread, not_seen
 
 
@@ -58,7 +59,8 @@ def api_items(payloads: DataFrame) -> DataFrame:
 
     A payload that cannot be read counts as empty.
     """
-    parsed = payloads.select("url", "page", F.from_json("payload", schemas.LISTING_PAYLOAD_API)["products"].alias("items"))
+    read = F.from_json("payload", schemas.LISTING_PAYLOAD_API)["products"]
+    parsed = compute_once(payloads.select("url", "page", "payload"), {"items": read}).drop("payload")
     stops = (
         parsed.where(F.coalesce(F.size("items"), F.lit(0)) <= 0).groupBy("url").agg(F.min("page").alias("stop"))
     )

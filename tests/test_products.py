@@ -1,8 +1,13 @@
 """Product extraction and listings on literal pages."""
 
+import random
+from html.parser import HTMLParser
+from xml.etree.ElementTree import tostring
+
 from pyspark.sql import functions as F
 
 from shelfscope import fixed_values as fv
+from shelfscope.checks import extraction
 from shelfscope.functions import markup
 from shelfscope.operators import listings, products
 
@@ -124,3 +129,35 @@ def test_odd_markup_never_fails(spark):
     pages = spark.createDataFrame([(html,) for html in ODD], "html string")
     found = pages.select(markup.page_signals(F.col("html")).alias("s"), markup.plain_text(F.col("html")).alias("t")).collect()
     assert [r["s"]["details_found"] for r in found] == [False] * len(ODD)
+
+
+class Standard(markup._Tree):
+    """Every tag by the rules of the standard library."""
+
+    parse_starttag, parse_endtag, updatepos = HTMLParser.parse_starttag, HTMLParser.parse_endtag, HTMLParser.updatepos
+
+
+def test_plain_tags_are_read_as_the_standard_parser_reads_them():
+    pick = random.Random(5)
+    some = [
+        "<p>", "</p>", "<li>", "<div class='a b'>", '<a href="x" id=\'\'>', "</a>", "<br>", "<br/>", "<B>", "</B >", "<p class=x>", "<a title='a>b'>", "<a b>", "<p\ta='1'>",
+        "<p  a='1'>", "<p a='&amp;'>", "<p a='1' a='2'>", "<p a='1'b='2'>", "<script>", "</script>", "<title>", "</title>", "<style>", "</style>", "<textarea>", "</textarea>",
+        "<!-- x -->", "<!doctype html>", "<", ">", "&lt;", "&", "text", "\n", "<p a='", "</", "</ p>", "<svg:a x:href='1'>", "<a data-b-c=\"it's\">", "<h1\na='1'>", "</h1>", "<É>",
+    ]
+    for _ in range(4000):
+        page = "".join(pick.choices(some, k=pick.randint(1, 14)))
+        trees = []
+        for kind in (markup._Tree, Standard):
+            parser = kind()
+            parser.feed(page)
+            parser.close()
+            trees.append(tostring(parser.root))
+        assert trees[0] == trees[1], page
+
+
+def test_pages_made_of_a_small_table_are_parsed_on_all_cores(spark, monkeypatch):
+    monkeypatch.setattr(extraction, "table", lambda *_: spark.createDataFrame([(1, "n", "b", "t u", 1, 1.0)], ", ".join(
+        f"{name} {kind}" for name, kind in zip(extraction.PART, ("long", "string", "string", "string", "int", "double"), strict=True)
+    )).coalesce(1))
+    for made in (extraction.dom_pages, extraction.state_pages, extraction.api_pages, extraction.api_payloads):
+        assert made(spark, "").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism > 1
