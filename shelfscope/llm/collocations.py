@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfscope.llm.blocks import BLOCK_SCHEMA, block_rows, merged_blocks
-from shelfscope.llm.words import BLOCK, WordHasher, mix, odd_numbers
+from shelfscope.llm.words import WordHasher, mix, odd_numbers
 from shelfscope.session import materialize
 
 TOP, AT_LEAST, LONGEST = 2000, 30, 4
@@ -37,8 +37,10 @@ COVERED = 80
 NO_LANGUAGE = "und"
 #: Bytes that end a piece, and those that only end a word.
 PIECE_ENDS, WORD_ENDS = b".,;:!?\n\v\f\r", b" \t"
+#: Bytes of text that are hashed at once; the work arrays take some 60 for each.
+BLOCK = 1 << 18
 #: Different phrases that a task holds before it sends them, and how many it sends in one batch.
-HELD, SENT = 1 << 18, 1 << 16
+HELD, SENT = 1 << 17, 1 << 16
 #: Bits of a broadcast filter: ten for each key, 32 MB at most. Beyond that it lets more pass, and the join does the rest.
 MIN_BITS, MAX_BITS = 1 << 16, 1 << 28
 
@@ -49,7 +51,7 @@ class PieceHasher(WordHasher):
     """Hashes words between white space and punctuation; A-Z count as a-z."""
 
     def __init__(self):
-        super().__init__(lower=True)
+        super().__init__(lower=True, block=BLOCK)
         self.values[list(PIECE_ENDS + WORD_ENDS)] = 0
         self.ends = np.zeros(256, bool)
         self.ends[list(PIECE_ENDS)] = True
