@@ -8,6 +8,7 @@ by dual coordinate descent. Margins become probabilities by a logistic curve fit
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
@@ -98,7 +99,11 @@ def hinge_by_dual_descent(
 
     The rarer class costs more per row, so that both classes weigh the same.
     """
-    values = [scaled(c, ratio, damping) for c in rows]
+    ends = np.cumsum([0, *map(len, rows)])
+    flat = np.empty(ends[-1])  # one array: small ones would stay with the driver's process after the fit
+    values = [flat[a:b] for a, b in itertools.pairwise(ends)]
+    for c, v in zip(rows, values, strict=True):
+        v[:] = scaled(c, ratio, damping)
     share = np.where(sign > 0, (sign < 0).sum(), (sign > 0).sum()) * 2 / len(sign)
     cost = COST * share
     alpha, w, bias = np.zeros(len(rows)), np.zeros(COLUMNS), 0.0
@@ -179,9 +184,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
         texts.join(F.broadcast(chosen), F.col("_doc_id") == F.col("_label_id"))
         .select("_label_id", F.col("quality").cast("int").alias("quality"), "text")
         .mapInArrow(features, "_label_id long, quality int, columns binary")
-        .orderBy(F.xxhash64("_label_id"), "_label_id", "quality", "columns").limit(fit_rows).collect()
+        .orderBy(F.xxhash64("_label_id"), "_label_id", "quality", "columns").limit(fit_rows).toArrow()
     )
-    return fit([np.frombuffer(r["columns"], np.int32) for r in rows], np.array([r["quality"] for r in rows]))
+    return fit([np.frombuffer(c.as_buffer(), np.int32) for c in rows.column("columns")], np.array(rows.column("quality").to_pylist()))
 
 
 def score_quality(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
