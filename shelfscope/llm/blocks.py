@@ -23,11 +23,8 @@ def block_rows(cells: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def merged_blocks(rows: DataFrame, size: int, kind: str, bits: bool = False) -> np.ndarray:
-    """Adds up (with `bits`, ORs) the tables of all tasks, block by block on the executors.
-
-    `size` cells arrive at the driver: a parameter of the caller, whatever the input.
-    """
+def summed_blocks(rows: DataFrame, kind: str, bits: bool = False) -> DataFrame:
+    """Adds up (with `bits`, ORs) the tables of all tasks, block by block on the executors: sums are int64, ORed words stay `kind`."""
 
     def merge(batches):
         now, total = None, None
@@ -48,13 +45,23 @@ def merged_blocks(rows: DataFrame, size: int, kind: str, bits: bool = False) ->
     def row(block, total):
         return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([total.tobytes()])], ["block", "cells"])
 
-    out = np.zeros(size, kind if bits else np.int64)
-    for block, cells in rows.repartition("block").sortWithinPartitions("block").mapInArrow(merge, BLOCK_SCHEMA).collect():
+    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(merge, BLOCK_SCHEMA)
+
+
+def collected_blocks(rows: DataFrame, size: int, kind) -> np.ndarray:
+    """The table that merged blocks make up. `size` cells arrive at the driver: a parameter of the caller, whatever the input."""
+    out = np.zeros(size, kind)
+    for block, cells in rows.collect():
         part = np.frombuffer(cells, out.dtype)
         out[block * CELLS : block * CELLS + len(part)] = part
     return out
 
 
+def merged_blocks(rows: DataFrame, size: int, kind: str, bits: bool = False) -> np.ndarray:
+    """The tables of all tasks added up (with `bits`, ORed), at the driver."""
+    return collected_blocks(summed_blocks(rows, kind, bits), size, kind if bits else np.int64)
+
+
 def whole_keys(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Rows that come in order of `key`, regrouped so that no key's rows are parted between two tables."""
     kept: list[pa.RecordBatch] = []

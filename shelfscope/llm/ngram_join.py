@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfscope.llm.blocks import BLOCK_SCHEMA, block_rows, id_filter, may_hold, merged_blocks, whole_keys
+from shelfscope.llm.blocks import BLOCK_SCHEMA, block_rows, collected_blocks, id_filter, may_hold, summed_blocks, whole_keys
 from shelfscope.llm.components import components
 from shelfscope.llm.words import WordHasher, grams, inside_documents, mix, odd_numbers, word_blocks
 from shelfscope.session import materialize
@@ -147,11 +147,27 @@ def _signatures(docs: DataFrame, width: int, sketch: int) -> DataFrame:
 
 
 def _common(rows: DataFrame, sketch: int) -> np.ndarray:
-    """How common the tokens of each counter are: 0 up to what chance gives, then in doublings."""
-    totals = merged_blocks(rows.where("block is not null").select("block", "cells"), sketch, "uint8")
-    usual = totals.mean()
+    """How common the tokens of each counter are: 0 up to what chance gives, then in doublings.
+
+    Counters become these ranks on the executors, so a byte for each arrives at the driver.
+    """
+    totals = materialize(summed_blocks(rows.where("block is not null").select("block", "cells"), "uint8"), "token-counts")
+
+    def add_up(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([int(c.sum()) for c in counters(batch)], pa.int64())], ["n"])
+
+    def rank(batches):
+        for batch in batches:
+            ranks = [np.where(c > usual, np.log2(np.maximum(c, 1) / usual) + 1, 0).astype(np.uint8).tobytes() for c in counters(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(ranks, pa.binary())], ["block", "cells"])
+
+    def counters(batch):
+        return (np.frombuffer(cells.as_buffer(), np.int64) for cells in batch.column("cells"))
+
+    usual = (totals.mapInArrow(add_up, "n long").agg(F.sum("n").alias("n")).first()["n"] or 0) / sketch
     usual = max(8.0, usual + 8 * usual**0.5)
-    return np.where(totals > usual, np.log2(np.maximum(totals, 1) / usual) + 1, 0).astype(np.uint8)
+    return collected_blocks(totals.mapInArrow(rank, BLOCK_SCHEMA), sketch, np.uint8)
 
 
 def signature(tokens: np.ndarray) -> np.ndarray:

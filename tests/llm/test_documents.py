@@ -3,16 +3,19 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
 from shelfscope.llm import ngram_join
+from shelfscope.llm.blocks import BLOCK_SCHEMA, block_rows
 from shelfscope.llm.components import components
 from shelfscope.llm.line_dedup import LineRuns, dedup_lines
 from shelfscope.llm.ngram_join import jaccard_groups, one_of_each_group
 from shelfscope.llm.substring_dedup import drop_repeated_passages
+from shelfscope.session import scratch_path
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SCHEMA = "lang string, doc_id long, text string, component_id long, key string, n_lines string"
@@ -192,3 +195,27 @@ def test_components_of_chains_and_stars(spark):
     want = components_of({n for a, b in links if a != b for n in (a, b)}, [x for x in links if x[0] != x[1]])
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
     assert got == want
+
+
+def test_ranks_of_the_sketch_are_made_on_the_executors(spark):
+    random = np.random.default_rng(7)
+    tables = [np.minimum(random.exponential(20, ngram_join.SKETCH), 255).astype(np.uint8) for _ in range(3)]
+    tables[0][:70_000] = tables[1][:70_000] = tables[2][:70_000] = 0  # a block that no task has
+    for a in (5, 1 << 20, ngram_join.SKETCH - 1):
+        tables[1][a : a + 9] = 255
+    rows = [(i, c) for t in tables for i, c in zip(*(block_rows(t).column(k).to_pylist() for k in ("block", "cells")), strict=True)]
+    path = scratch_path(spark, "sketches")
+    spark.createDataFrame(rows, BLOCK_SCHEMA).write.parquet(path)
+    totals = np.sum(tables, 0, np.int64)
+    usual = totals.mean() + 8 * totals.mean() ** 0.5
+    wanted = np.where(totals > usual, np.log2(np.maximum(totals, 1) / usual) + 1, 0).astype(np.uint8)
+    tracemalloc.start()
+    ranks = ngram_join._common(spark.read.parquet(path), ngram_join.SKETCH)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ranks.dtype == np.uint8 and (ranks == wanted).all() and wanted.max() > 1
+    assert most < 16 << 20  # before: eight bytes a counter came to the driver, and several arrays of them
+
+
+def test_ranks_of_an_empty_sketch(spark):
+    assert not ngram_join._common(spark.createDataFrame([], BLOCK_SCHEMA), 100).any()
